@@ -9,6 +9,7 @@ from airtally.functions.values import full_name
 from airtally.operators.changes import latest_by_key
 from airtally.operators.intervals import interval_overlap, point_in_interval
 from airtally.operators.skew import HOT_ROWS, hot_keys, salted_join
+from airtally.session import written
 
 
 def show_views(sessions: DataFrame, shows: DataFrame, method: str = "cells") -> DataFrame:
@@ -60,14 +61,20 @@ def average_location(located: DataFrame, view_columns: list[str]) -> DataFrame:
 
 def show_watch_full(sessions: DataFrame, shows: DataFrame, users: DataFrame,
                     locations: DataFrame, hot_users: DataFrame | None = None) -> DataFrame:
-    """Sessions x shows, with viewer and position."""
-    return with_locations(with_demographics(show_views(sessions, shows), users, hot_users), locations)
+    """Sessions x shows, with viewer and position.
+
+    The location join reads the views more than once, so they are written first.
+    ``sessions`` and ``shows`` should be tables for the same reason.
+    """
+    views = with_demographics(show_views(sessions, shows), users, hot_users)
+    return with_locations(written(views, "show-views"), locations)
 
 
 def ad_view_full(ads: DataFrame, sessions: DataFrame, users: DataFrame,
                  locations: DataFrame, hot_users: DataFrame | None = None) -> DataFrame:
-    """Ads x sessions, with viewer and position."""
-    return with_locations(with_demographics(ad_views(ads, sessions), users, hot_users), locations)
+    """Ads x sessions, with viewer and position; see ``show_watch_full``."""
+    views = with_demographics(ad_views(ads, sessions), users, hot_users)
+    return with_locations(written(views, "ad-views"), locations)
 
 
 def event_customer_join(events: DataFrame, customers: DataFrame, rows: int = HOT_ROWS) -> DataFrame:

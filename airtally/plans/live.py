@@ -1 +1,131 @@
-"""Streaming twins."""
+"""Streaming twins of the batch queries, fed by the same tables as bounded streams.
+
+Each runs until it has read all there is, writes its micro-batches to the shared
+folder, and is read back as a table.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from airtally.operators import dashboards
+from airtally.plans import panels, viewing  # noqa: F401  the batch twins come first
+from airtally.plans.records import EVENT
+from airtally.plans.registry import query
+from airtally.plans.views import Views
+from airtally.session import new_folder
+from airtally.sources.feeds import LATE, ads_from_topic
+from airtally.sources.topics import topic_decode
+from airtally.streaming import joins, state
+from airtally.streaming.runner import Live, kept, table_sink
+
+
+class Streams(Views):
+    """The test views with ``events`` read as a stream."""
+
+    def __init__(self, views: Views):
+        super().__init__(views.spark, views.folder)
+
+    def table(self, name: str) -> DataFrame:
+        still = super().table(name)
+        if name != "events":
+            return still
+        # As a pattern, since a stream takes a folder or a pattern but not a single file.
+        path = os.path.join(self.folder, f"[{name[0]}]{name[1:]}.parquet")
+        return self.spark.readStream.schema(still.schema).parquet(path)
+
+
+def finish(rows: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+    folder = new_folder(rows.sparkSession, "live")
+    live = Live(name, rows, mode)
+    table_sink(live, folder).awaitTermination()
+    return kept(live, folder, keys)
+
+
+def from_table(df: DataFrame, name: str) -> DataFrame:
+    """A bounded DataFrame as a stream: written once, read back as files."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).parquet(path)
+
+
+@query("device_sessions_live", same_as="device_sessions")
+def device_sessions_live(v: Views):
+    found = state.device_sessions_stream(Streams(v).actions(), tiebreak="event_id", mode="append")
+    return finish(found, "sessions").filter(F.unix_micros("end_ts") > 0)
+
+
+@query("user_activity_live", same_as="user_activity")
+def user_activity_live(v: Views):
+    found = state.user_activity_stream(Streams(v).typed_events(), tiebreak="event_id", mode="update")
+    rows = finish(found, "activity", "update", ["user_id"])
+    listed = F.concat_ws(",", F.col("type_ints").cast("array<string>"))
+    return rows.withColumns({"type_ints": listed, "part": F.lit(0)})
+
+
+@query("type_spans_live", same_as="type_spans")
+def type_spans_live(v: Views):
+    return finish(state.type_spans_stream(Streams(v).typed_events()), "spans")
+
+
+@query("sliding_event_stats_live", same_as="sliding_event_stats")
+def sliding_event_stats_live(v: Views):
+    stats = dashboards.sliding_event_stats(Streams(v).events())
+    flat = stats.select(F.col("window.start").alias("window_start"),
+                        F.col("window.end").alias("window_end"), "event_type", "avg", "count", "sum")
+    return finish(flat, "stats", "complete")
+
+
+@query("device_place_tumbling_live", same_as="device_place_tumbling")
+def device_place_tumbling_live(v: Views):
+    marked = Streams(v).locations().withWatermark("kdts", LATE["place"])
+    stats = dashboards.device_place_tumbling(marked, "kdts")
+    flat = stats.select(F.col("window.start").alias("window_start"), "device_id", "location",
+                        F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "visibility")
+    return finish(flat, "places", "update", ["window_start", "device_id", "location"])
+
+
+@query("count_by_type_live", sql="SELECT event_type, count(*) AS count FROM events GROUP BY 1")
+def count_by_type_live(v: Views):
+    return finish(dashboards.count_by(Streams(v).events(), "event_type"), "counts", "complete")
+
+
+@query("poor_events_live", sql="SELECT event_id, event_type FROM events WHERE value < 3")
+def poor_events_live(v: Views):
+    rows = Streams(v).events().filter("value < 3").select("event_id", "event_type")
+    return finish(rows, "poor")
+
+
+@query("topic_json_decode_live", same_as="topic_json_decode")
+def topic_json_decode_live(v: Views):
+    return finish(topic_decode(Streams(v).envelope(), EVENT), "decoded")
+
+
+@query("show_watch_overlap_live", same_as="show_watch_overlap")
+def show_watch_overlap_live(v: Views):
+    sessions = from_table(v.sessions(), "session-stream")
+    return finish(joins.show_views_live(sessions, v.shows_table()).drop("mark_ts"), "shows")
+
+
+@query("ad_view_overlap_live", same_as="ad_view_overlap")
+def ad_view_overlap_live(v: Views):
+    sessions = from_table(v.sessions(), "session-stream").withWatermark("start_ts", LATE["session"])
+    ads = ads_from_topic(Streams(v).ad_starts()).withWatermark("start_ts", LATE["ad"])
+    return finish(joins.ad_views_live(ads, sessions).drop("mark_ts"), "ads")
+
+
+@query("show_watch_live", ["show_people", "locations"], """
+SELECT v.program_id, v.program, v.channel_id, v.channel, v.user_id, v.name, v.age, v.gender,
+       v.device_id AS view_device_id, v.start_ts, v.end_ts,
+       l.device_id, l.lon, l.lat, l.visibility, l.kdts
+FROM show_people v JOIN locations l
+  ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
+def show_watch_live(v: Views):
+    """The flagship as one streaming query, matched rows; unmatched ones would wait
+    for a later watermark that a bounded stream never sends."""
+    sessions = from_table(v.sessions(), "session-stream").withWatermark("start_ts", LATE["view"])
+    places = Streams(v).locations().withWatermark("kdts", LATE["location"])
+    return finish(joins.show_watch_live(sessions, v.shows_table(), v.users(), places, "inner"), "watch")

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airtally.operators import enrich, schedule, sessions
+from airtally.operators.dashboards import count_by
 from airtally.operators.intervals import interval_overlap
 from airtally.plans.registry import query
 from airtally.plans.views import Views
+from airtally.session import written
+from airtally.sources.feeds import ads_from_topic
 
 SHOW_COLUMNS = "program_id, program, channel_id, channel, user_id, device_id"
 POINTS = "l.device_id, l.lon, l.lat, l.visibility, l.kdts"
@@ -61,13 +64,13 @@ def schedule_end_times(v: Views):
 
 @query("show_watch_overlap", ["show_views"], f"SELECT {SHOW_COLUMNS}, start_ts, end_ts FROM show_views")
 def show_watch_overlap(v: Views):
-    return enrich.show_views(v.sessions(), v.shows())
+    return enrich.show_views(v.sessions_table(), v.shows_table())
 
 
 @query("show_watch_overlap_plain", ["show_views"], f"SELECT {SHOW_COLUMNS}, start_ts, end_ts FROM show_views")
 def show_watch_overlap_plain(v: Views):
     """The same by the bare equi-join with a range condition, for comparison."""
-    return enrich.show_views(v.sessions(), v.shows(), method="plain")
+    return enrich.show_views(v.sessions_table(), v.shows_table(), method="plain")
 
 
 @query("show_unwatched", ["sessions", "shows"], """
@@ -76,7 +79,7 @@ WHERE NOT EXISTS (SELECT 1 FROM sessions s WHERE s.channel_id = sh.channel_id
                   AND s.start_ts <= sh.end_ts AND s.end_ts >= sh.start_ts)""")
 def show_unwatched(v: Views):
     """Shows nobody watched: the left outer join a stream cannot do."""
-    pairs = interval_overlap(v.shows(), v.sessions(), "channel_id", how="left_outer")
+    pairs = interval_overlap(v.shows_table(), v.sessions_table(), "channel_id", how="left_outer")
     return pairs.filter(F.col("b_user_id").isNull()).select(
         F.col("a_channel_id").alias("channel_id"), F.col("a_program_id").alias("program_id"),
         F.col("a_program").alias("program"), "start_ts", "end_ts")
@@ -88,13 +91,12 @@ def ad_end_time(v: Views):
 
 
 def ads(v: Views):
-    from airtally.sources.feeds import ads_from_topic
     return ads_from_topic(v.ad_starts())
 
 
 @query("ad_view_overlap", ["ad_views"], "SELECT * FROM ad_views")
 def ad_view_overlap(v: Views):
-    return enrich.ad_views(ads(v), v.sessions())
+    return enrich.ad_views(ads(v), v.sessions_table())
 
 
 @query("ad_view_overlap_outer", ["ads", "sessions"], """
@@ -103,18 +105,22 @@ SELECT a.ad_id, a.channel_id, s.user_id, s.device_id,
 FROM ads a LEFT JOIN sessions s ON s.channel_id = a.channel_id
   AND s.start_ts <= a.end_ts AND s.end_ts >= a.start_ts""")
 def ad_view_overlap_outer(v: Views):
-    return enrich.ad_views(ads(v), v.sessions(), how="left_outer")
+    return enrich.ad_views(ads(v), v.sessions_table(), how="left_outer")
 
 
 @query("show_demographic", ["show_people"],
        f"SELECT {SHOW_COLUMNS}, name, age, gender, start_ts, end_ts FROM show_people")
 def show_demographic(v: Views):
-    return enrich.with_demographics(enrich.show_views(v.sessions(), v.shows()), v.users(), v.hot_users())
+    return enrich.with_demographics(enrich.show_views(v.sessions_table(), v.shows_table()), v.users(), v.hot_users())
 
 
 @query("ad_demographic", ["ad_people"], "SELECT * FROM ad_people")
 def ad_demographic(v: Views):
-    return enrich.with_demographics(enrich.ad_views(ads(v), v.sessions()), v.users(), v.hot_users())
+    return enrich.with_demographics(enrich.ad_views(ads(v), v.sessions_table()), v.users(), v.hot_users())
+
+
+def show_views_table(v: Views):
+    return written(enrich.show_views(v.sessions_table(), v.shows_table()), "show-views")
 
 
 @query("show_location", ["show_views", "locations"], f"""
@@ -123,7 +129,7 @@ SELECT v.program_id, v.program, v.channel_id, v.channel, v.user_id, v.device_id
 FROM show_views v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
 def show_location(v: Views):
-    return enrich.with_locations(enrich.show_views(v.sessions(), v.shows()), v.locations())
+    return enrich.with_locations(show_views_table(v), v.locations())
 
 
 @query("ad_location", ["ad_views", "locations"], f"""
@@ -131,7 +137,8 @@ SELECT v.ad_id, v.channel_id, v.user_id, v.device_id AS view_device_id, v.start_
 FROM ad_views v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
 def ad_location(v: Views):
-    return enrich.with_locations(enrich.ad_views(ads(v), v.sessions()), v.locations())
+    views = written(enrich.ad_views(ads(v), v.sessions_table()), "ad-views")
+    return enrich.with_locations(views, v.locations())
 
 
 @query("show_location_avg", ["show_views", "locations"], """
@@ -141,7 +148,7 @@ FROM show_views v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts
 GROUP BY ALL""")
 def show_location_avg(v: Views):
-    located = enrich.with_locations(enrich.show_views(v.sessions(), v.shows()), v.locations())
+    located = enrich.with_locations(show_views_table(v), v.locations())
     view = ["program_id", "channel_id", "user_id", "view_device_id", "start_ts", "end_ts"]
     return enrich.average_location(located, view).withColumns(
         {"lon": F.round("lon", 6), "lat": F.round("lat", 6)})
@@ -154,7 +161,7 @@ FROM show_people v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
 def show_watch_full(v: Views):
     """Flagship: who watched which show, when, where, and who they are."""
-    return enrich.show_watch_full(v.sessions(), v.shows(), v.users(), v.locations(), v.hot_users())
+    return enrich.show_watch_full(v.sessions_table(), v.shows_table(), v.users(), v.locations(), v.hot_users())
 
 
 @query("ad_view_full", ["ad_people", "locations"], f"""
@@ -163,7 +170,7 @@ SELECT v.ad_id, v.channel_id, v.user_id, v.name, v.age, v.gender,
 FROM ad_people v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
 def ad_view_full(v: Views):
-    return enrich.ad_view_full(ads(v), v.sessions(), v.users(), v.locations(), v.hot_users())
+    return enrich.ad_view_full(ads(v), v.sessions_table(), v.users(), v.locations(), v.hot_users())
 
 
 @query("event_customer_join", ["ev", "customers"], """
@@ -198,5 +205,4 @@ def unhappy_premium(v: Views):
 
 @query("unhappy_by_name", ["unhappy"], "SELECT full_name, count(*) AS count FROM unhappy GROUP BY 1")
 def unhappy_by_name(v: Views):
-    from airtally.operators.dashboards import count_by
     return count_by(enrich.unhappy_premium(enriched(v), status="BUILDING"), "full_name")

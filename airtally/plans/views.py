@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from airtally.operators.schedule import shows_of
 from airtally.operators.sessions import device_sessions
 from airtally.operators.skew import hot_keys
+from airtally.session import written
 
 # Shows of one channel and day come in rows of at most this many (event ids are unique).
 SHOWS_PER_ROW = 1000
@@ -46,6 +47,13 @@ class Views:
     def sessions(self) -> DataFrame:
         return device_sessions(self.actions(), tiebreak=["event_id"])
 
+    def sessions_table(self) -> DataFrame:
+        """Sessions computed once; the overlap joins read their inputs twice."""
+        return written(self.sessions(), "sessions")
+
+    def shows_table(self) -> DataFrame:
+        return written(self.shows(), "shows")
+
     def channels(self) -> DataFrame:
         """Nested schedules: signup events are the show starts."""
         start = self.events().filter(F.col("event_type") == "signup").select(

@@ -64,6 +64,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The DataFrame as a Parquet table in the shared folder, computed once.
+
+    Cuts the lineage of a result that several later steps read: they scan a table
+    instead of repeating its joins, a lost executor costs only a scan, and Spark
+    knows the table's size when it picks joins.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def plain_times(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock values without a zone, as other engines read them."""
     return df.select([
