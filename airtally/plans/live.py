@@ -54,13 +54,15 @@ def from_table(df: DataFrame, name: str) -> DataFrame:
 
 @query("device_sessions_live", same_as="device_sessions")
 def device_sessions_live(v: Views):
-    found = state.device_sessions_stream(Streams(v).actions(), tiebreak="event_id", mode="append")
-    return finish(found, "sessions").filter(F.unix_micros("end_ts") > 0)
+    found = state.device_sessions_stream(Streams(v).actions(), tiebreak="event_id", mode="append",
+                                         clock=state.NEVER)
+    return finish(found, "sessions")
 
 
 @query("user_activity_live", same_as="user_activity")
 def user_activity_live(v: Views):
-    found = state.user_activity_stream(Streams(v).typed_events(), tiebreak="event_id", mode="update")
+    found = state.user_activity_stream(Streams(v).typed_events(), tiebreak="event_id", mode="update",
+                                       clock=state.NEVER)
     rows = finish(found, "activity", "update", ["user_id"])
     listed = F.concat_ws(",", F.col("type_ints").cast("array<string>"))
     return rows.withColumns({"type_ints": listed, "part": F.lit(0)})
@@ -68,7 +70,7 @@ def user_activity_live(v: Views):
 
 @query("type_spans_live", same_as="type_spans")
 def type_spans_live(v: Views):
-    return finish(state.type_spans_stream(Streams(v).typed_events()), "spans")
+    return finish(state.type_spans_stream(Streams(v).typed_events(), clock=state.NEVER), "spans")
 
 
 @query("sliding_event_stats_live", same_as="sliding_event_stats")

@@ -1,8 +1,10 @@
 """Keyed state on streams: device sessions, user activity, spans per event type.
 
 Each processor sees the rows of one key in one micro-batch. Rows are taken in time
-order within the batch. A key that goes quiet is closed by a timer, on the clock
-or on event time when the stream has a watermark.
+order within the batch. A key that goes quiet is closed by a timer: on the clock
+of the workers (``PROCESSING``), or on event time when the stream has a watermark
+(``EVENT``). ``NEVER`` sets no timer. A query on the clock always has another batch
+to wait for, so it does not end by itself under an ``availableNow`` trigger.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from airtally.functions.values import type_number
 from airtally.operators.sessions import END_FROM, START, START_BELOW, STOP, SWITCH
 
+PROCESSING, EVENT, NEVER = "ProcessingTime", "EventTime", "None"
 # Marks of a closed activity, and idle times in milliseconds.
 CLOSED_ACTIVITY, CLOSED_SPANS = 500, 999
 SESSION_IDLE, ACTIVITY_IDLE = 90_000, 30_000
@@ -29,8 +32,8 @@ def _session(key, opened, end: int) -> Row:
 class _Idle(StatefulProcessor):
     """Timer handling shared by the processors: one pending timer per key."""
 
-    def __init__(self, idle_ms: int, event_time: bool):
-        self.idle_ms, self.event_time = idle_ms, event_time
+    def __init__(self, idle_ms: int, clock: str):
+        self.idle_ms, self.clock = idle_ms, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -38,16 +41,18 @@ class _Idle(StatefulProcessor):
 
     def _renew(self, timers, newest: int | None) -> None:
         """Move the idle timer behind the newest row."""
+        if self.clock == NEVER:
+            return
         self._cancel()
-        now = newest // 1000 if self.event_time and newest is not None \
-            else timers.getCurrentProcessingTimeInMs()
-        if self.event_time:
-            now = max(now, timers.getCurrentWatermarkInMs())
+        if self.clock == EVENT:
+            now = max(newest // 1000 if newest is not None else 0, timers.getCurrentWatermarkInMs())
+        else:
+            now = timers.getCurrentProcessingTimeInMs()
         self.handle.registerTimer(now + self.idle_ms)
         self.timer.update((now + self.idle_ms,))
 
     def _cancel(self) -> None:
-        if self.timer.exists():
+        if self.clock != NEVER and self.timer.exists():
             self.handle.deleteTimer(self.timer.get()[0])
             self.timer.clear()
 
@@ -159,10 +164,10 @@ def _time(name: str, alias: str | None = None):
 
 
 def _run(df: DataFrame, keys: list[str], processor: StatefulProcessor, out: T.StructType,
-         mode: str, event_time: bool) -> DataFrame:
+         mode: str, clock: str) -> DataFrame:
     return df.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=out, outputMode=mode,
-        timeMode="EventTime" if event_time else "ProcessingTime")
+        timeMode=clock)
 
 
 def _out(keys: dict[str, T.DataType], **kinds: T.DataType) -> T.StructType:
@@ -173,42 +178,42 @@ def _out(keys: dict[str, T.DataType], **kinds: T.DataType) -> T.StructType:
 
 
 def device_sessions_stream(actions: DataFrame, idle_ms: int = SESSION_IDLE, mode: str = "update",
-                           tiebreak: str | None = None, event_time: bool = False) -> DataFrame:
+                           tiebreak: str | None = None, clock: str = PROCESSING) -> DataFrame:
     """Streaming form of ``device_sessions``; a session nobody ends for ``idle_ms``
     is emitted with end = epoch 0."""
     keys = {k: actions.schema[k].dataType for k in ("user_id", "device_id")}
     slim = actions.select(*keys, F.col("channel_id").cast("bigint").alias("channel_id"), "action",
                           *_at(actions, "action_ts", tiebreak),
-                          *(["action_ts"] if event_time else []))
+                          *(["action_ts"] if clock == EVENT else []))
     out = _out(keys, channel_id=T.LongType(), start=T.LongType(), end=T.LongType())
-    found = _run(slim, list(keys), SessionState(idle_ms, event_time), out, mode, event_time)
+    found = _run(slim, list(keys), SessionState(idle_ms, clock), out, mode, clock)
     return found.select(*keys, F.col("channel_id").cast(actions.schema["channel_id"].dataType)
                         .alias("channel_id"), _time("start", "start_ts"), _time("end", "end_ts"))
 
 
-def _numbered(events: DataFrame, tiebreak: str | None, event_time: bool) -> DataFrame:
+def _numbered(events: DataFrame, tiebreak: str | None, clock: str) -> DataFrame:
     return events.select("user_id", type_number(F.col("event_type")).alias("number"),
                          *_at(events, "event_ts", tiebreak),
-                         *(["event_ts"] if event_time else []))
+                         *(["event_ts"] if clock == EVENT else []))
 
 
 def user_activity_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "update",
-                         tiebreak: str | None = None, event_time: bool = False) -> DataFrame:
+                         tiebreak: str | None = None, clock: str = PROCESSING) -> DataFrame:
     """Streaming form of ``user_activity``: a row per user and trigger with the list
     so far; after ``idle_ms`` a last row with the mark 500."""
     keys = {"user_id": events.schema["user_id"].dataType}
     out = _out(keys, type_ints=T.ArrayType(T.IntegerType()), start=T.LongType(), end=T.LongType())
-    found = _run(_numbered(events, tiebreak, event_time), ["user_id"],
-                 ActivityState(idle_ms, event_time), out, mode, event_time)
+    found = _run(_numbered(events, tiebreak, clock), ["user_id"],
+                 ActivityState(idle_ms, clock), out, mode, clock)
     return found.select("user_id", "type_ints", _time("start"), _time("end"))
 
 
 def type_spans_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "append",
-                      event_time: bool = False) -> DataFrame:
+                      clock: str = PROCESSING) -> DataFrame:
     """Streaming form of ``type_spans``, each micro-batch by itself; after
     ``idle_ms`` a row with type 999."""
     keys = {"user_id": events.schema["user_id"].dataType}
     out = _out(keys, type_int=T.IntegerType(), start=T.LongType(), end=T.LongType())
-    found = _run(_numbered(events, None, event_time), ["user_id"],
-                 SpanState(idle_ms, event_time), out, mode, event_time)
+    found = _run(_numbered(events, None, clock), ["user_id"],
+                 SpanState(idle_ms, clock), out, mode, clock)
     return found.select("user_id", "type_int", _time("start"), _time("end"))
