@@ -21,24 +21,15 @@ def ranked(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
     it); ``next_val`` and ``prev_val`` (0 at the ends); ``first_val`` and
     ``last_val``. Rows are ordered by ``order`` and then by ``tiebreak``.
     """
-    value = F.col(order)
-    # Pieces ascend with the value; walk them in the direction of the sort.
+    value, zero = F.col(order), F.lit(0).cast(df.schema[order].dataType)
     cut = cut_groups(df, keys, order, rows)
+    if cut is None:
+        local = _windows(df, keys, value, tiebreak, descending)
+        return local.withColumns({"next_val": F.coalesce("next_val", zero),
+                                  "prev_val": F.coalesce("prev_val", zero)})
+    # Pieces ascend with the value; walk them in the direction of the sort.
     cut = cut.withColumn("piece", -F.col("piece") if descending else F.col("piece"))
-    by_value: Column = value.desc() if descending else value.asc()
-    inside = Window.partitionBy(*keys, "piece").orderBy(by_value)
-    exact = Window.partitionBy(*keys, "piece").orderBy(by_value, *tiebreak)
-    whole = exact.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = cut.withColumns({
-        "rank": F.rank().over(inside), "dense_rank": F.dense_rank().over(inside),
-        "row_number": F.row_number().over(exact),
-        # The default frame is a range, so equal values share the total.
-        "running_total": F.sum(value).over(inside),
-        "next_in": F.lead(value).over(exact), "prev_in": F.lag(value).over(exact),
-        "first_in": F.first(value).over(exact),
-        # "From here to the end" and "whole partition" have the same last row, and
-        # the second is computed once per partition instead of once per row.
-        "last_in": F.last(value).over(whole)})
+    local = _windows(cut, [*keys, "piece"], value, tiebreak, descending)
     totals = _pieces_before(cut.filter("is_hot"), keys, order, descending)
     # One row per piece of a hot partition: about rows(df) / rows of them.
     joined = local.alias("d").join(
@@ -46,20 +37,36 @@ def ranked(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
         same_keys("d", "t", keys) & (F.col("d.piece") == F.col("t.piece")), "left")
 
     def plus(column: str, before: str) -> Column:
-        return (F.col(f"d.{column}") + F.coalesce(F.col(f"t.{before}"), F.lit(0)))
+        return (F.col(f"d.{column}") + F.coalesce(F.col(f"t.{before}"), F.lit(0))).alias(column)
 
-    kind = df.schema[order].dataType
-    zero = F.lit(0).cast(kind)
     return joined.select(
         *[F.col(f"d.{c}") for c in df.columns],
-        plus("rank", "rows_before").cast("bigint").alias("rank"),
-        plus("dense_rank", "values_before").cast("bigint").alias("dense_rank"),
-        plus("row_number", "rows_before").cast("bigint").alias("row_number"),
-        plus("running_total", "sum_before").alias("running_total"),
-        F.coalesce("d.next_in", "t.next_piece", zero).alias("next_val"),
-        F.coalesce("d.prev_in", "t.prev_piece", zero).alias("prev_val"),
-        F.coalesce("t.first_piece", "d.first_in").alias("first_val"),
-        F.coalesce("t.last_piece", "d.last_in").alias("last_val"))
+        plus("rank", "rows_before"), plus("dense_rank", "values_before"),
+        plus("row_number", "rows_before"), plus("running_total", "sum_before"),
+        F.coalesce("d.next_val", "t.next_piece", zero).alias("next_val"),
+        F.coalesce("d.prev_val", "t.prev_piece", zero).alias("prev_val"),
+        F.coalesce("t.first_piece", "d.first_val").alias("first_val"),
+        F.coalesce("t.last_piece", "d.last_val").alias("last_val"))
+
+
+def _windows(df: DataFrame, keys: list[str], value: Column, tiebreak: list[str],
+             descending: bool) -> DataFrame:
+    """The window columns within ``keys``, over one sort."""
+    by_value = value.desc() if descending else value.asc()
+    inside = Window.partitionBy(*keys).orderBy(by_value)
+    exact = Window.partitionBy(*keys).orderBy(by_value, *tiebreak)
+    whole = exact.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumns({
+        "rank": F.rank().over(inside).cast("bigint"),
+        "dense_rank": F.dense_rank().over(inside).cast("bigint"),
+        "row_number": F.row_number().over(exact).cast("bigint"),
+        # The default frame is a range, so equal values share the total.
+        "running_total": F.sum(value).over(inside),
+        "next_val": F.lead(value).over(exact), "prev_val": F.lag(value).over(exact),
+        "first_val": F.first(value).over(exact),
+        # "From here to the end" and "whole partition" have the same last row, and
+        # the second is computed once per partition instead of once per row.
+        "last_val": F.last(value).over(whole)})
 
 
 def _pieces_before(hot: DataFrame, keys: list[str], order: str, descending: bool) -> DataFrame:

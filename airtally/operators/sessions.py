@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airtally.functions.values import type_number
-from airtally.operators.skew import HOT_ROWS, cut_groups, lead_rows, same_keys
+from airtally.operators.skew import HOT_ROWS, cut_groups, hot_keys, lead_rows
 
 # The action codes of the device feed.
 START, STOP, SWITCH = 1, 2, 3
@@ -69,15 +69,17 @@ def user_activity(events: DataFrame, tiebreak: list[str] | None = None,
     order = ["event_ts", *(tiebreak or []), "type_int"]
     entry = F.struct(*order)
     types = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["type_int"])
-    hot = F.broadcast(typed.groupBy("user_id")
-                      .agg(F.count(F.lit(1)).alias("n"), *_bounds(events))
-                      .filter(F.col("n") > rows)
-                      .orderBy(F.col("n").desc(), "user_id").limit(at_most)
-                      .select("user_id", "start", "end"))
-    normal = (typed.join(hot, "user_id", "left_anti").groupBy("user_id")
-              .agg(types.alias("type_ints"), *_bounds(events))
-              .select("user_id", F.lit(0).alias("part"), "type_ints", "start", "end"))
-    # cut_groups ranks pieces along time; a piece becomes one part of the list.
+
+    def whole_lists(rows_of: DataFrame) -> DataFrame:
+        return (rows_of.groupBy("user_id").agg(types.alias("type_ints"), *_bounds(events))
+                .select("user_id", F.lit(0).alias("part"), "type_ints", "start", "end"))
+
+    hot = hot_keys(typed, ["user_id"], rows, at_most, _bounds(events))
+    if hot is None:
+        return whole_lists(typed)
+    hot = F.broadcast(hot)  # at most ``at_most`` rows
+    normal = whole_lists(typed.join(hot, "user_id", "left_anti"))
+    # A piece, a range of the user's time, becomes one part of the list.
     heavy = cut_groups(typed.join(hot, "user_id", "left_semi"), ["user_id"], "event_ts", rows, at_most)
     parts = heavy.groupBy("user_id", "piece").agg(types.alias("type_ints"))
     split = parts.join(hot, "user_id").select(

@@ -3,7 +3,12 @@
 A window or a collected list needs all rows of its key in one task. The helpers
 here find the few keys that hold too many rows, cut the rows of those keys into
 pieces along the sort order, and let the caller carry values between pieces.
-Every other key stays in a single piece, so its plan is the plain one.
+Every other key stays in a single piece, and when no key is heavy the plan is the
+plain one.
+
+Heavy keys are found by a counting job over the key columns that runs when the
+operator is called. Its answer has a fixed maximum length, so it may pass through
+the driver and be broadcast.
 """
 
 from __future__ import annotations
@@ -30,17 +35,25 @@ def order_number(order: Column, data_type: T.DataType) -> Column:
     return order.cast("double")
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS,
-             at_most: int = HOT_KEYS) -> DataFrame:
-    """``keys, slices`` for every key above ``rows`` rows, biggest first.
+def _local(found: DataFrame) -> DataFrame | None:
+    """A short result as literal rows, or None when it is empty."""
+    rows = found.collect()
+    return found.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, at_most: int = HOT_KEYS,
+             extra: list[Column] | None = None) -> DataFrame | None:
+    """``keys, slices`` and ``extra`` aggregates for every key above ``rows`` rows, or
+    None when there is none.
 
-    A counting aggregate that combines on the map side over the key columns
-    only, then a top-n: at most ``at_most`` rows leave it.
+    The count combines on the map side over the key columns only; the biggest
+    ``at_most`` keys are kept as literal rows.
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-            .filter(F.col("key_rows") > rows)
-            .orderBy(F.col("key_rows").desc(), *keys).limit(at_most)
-            .select(*keys, F.ceil(F.col("key_rows") / F.lit(rows)).cast("int").alias("slices")))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"), *(extra or []))
+    heavy = (counted.filter(F.col("key_rows") > rows)
+             .withColumn("slices", F.ceil(F.col("key_rows") / F.lit(rows)).cast("int"))
+             .orderBy(F.col("key_rows").desc(), *keys).limit(at_most).drop("key_rows"))
+    return _local(heavy)
 
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
@@ -52,25 +65,23 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
 
 
 def cut_groups(df: DataFrame, keys: list[str], order: str, rows: int = HOT_ROWS,
-               at_most: int = HOT_KEYS) -> DataFrame:
-    """Add ``piece``: 0 for normal keys, a range number along ``order`` for hot ones.
+               at_most: int = HOT_KEYS) -> DataFrame | None:
+    """Add ``piece``, and ``is_hot``; None when no key is hot.
 
+    ``piece`` is 0 for normal keys and a range number along ``order`` for hot ones.
     Equal values of ``order`` share a piece, and pieces ascend with ``order``, so
     ranks, running totals and neighbours can be finished from piece totals.
-    The hot list holds at most ``at_most`` rows, hence the broadcast.
     """
     number = order_number(F.col(order), df.schema[order].dataType)
-    hot = (df.groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("hot_rows"), F.min(number).alias("hot_low"),
-                F.max(number).alias("hot_high"))
-           .filter(F.col("hot_rows") > rows)
-           .orderBy(F.col("hot_rows").desc(), *keys).limit(at_most))
-    width = (F.col("hot_high") - F.col("hot_low")) / F.ceil(F.col("hot_rows") / F.lit(rows))
-    piece = F.when(F.col("hot_rows").isNull() | F.col(order).isNull() | (width <= 0), F.lit(0)) \
-        .otherwise(F.floor((number - F.col("hot_low")) / width).cast("int"))
-    return (df.alias("d")
-            .join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left")
-            .select("d.*", piece.alias("piece"), F.col("hot_rows").isNotNull().alias("is_hot")))
+    hot = hot_keys(df, keys, rows, at_most,
+                   [F.min(number).alias("low"), F.max(number).alias("high")])
+    if hot is None:
+        return None
+    width = (F.col("h.high") - F.col("h.low")) / F.col("h.slices")
+    inside = F.col("h.slices").isNotNull() & F.col(order).isNotNull() & (width > 0)
+    piece = F.when(inside, F.floor((number - F.col("h.low")) / width).cast("int")).otherwise(F.lit(0))
+    return (df.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left")
+            .select("d.*", piece.alias("piece"), F.col("h.slices").isNotNull().alias("is_hot")))
 
 
 def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str],
@@ -78,14 +89,18 @@ def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str
               at_most: int = HOT_KEYS) -> DataFrame:
     """``lead`` of several columns over ``keys`` ordered by ``order``.
 
-    ``order[0]`` is the sort column, the rest break ties. Inside a piece this is
-    the ordinary window. The last row of a piece takes the first row of the
-    following piece; those first rows are gathered for hot keys only.
+    ``order[0]`` is the sort column, the rest break ties. Without hot keys this is
+    the ordinary window. Otherwise it runs inside pieces, and the last row of a
+    piece takes the first row of the following piece; those first rows are gathered
+    for hot keys only.
     """
-    cut = cut_groups(df, keys, order[0], rows, at_most)
-    inside = Window.partitionBy(*keys, "piece").orderBy(*order)
     row = F.struct(*[F.col(v) for v in values])
-    led = cut.withColumn("following", F.lead(row).over(inside))
+    cut = cut_groups(df, keys, order[0], rows, at_most)
+    if cut is None:
+        led = df.withColumn("following", F.lead(row).over(Window.partitionBy(*keys).orderBy(*order)))
+        return led.select(*df.columns, *[F.col("following")[v].alias(prefix + v) for v in values])
+    led = cut.withColumn("following", F.lead(row).over(
+        Window.partitionBy(*keys, "piece").orderBy(*order)))
     heads = (cut.filter("is_hot").groupBy(*keys, "piece")
              .agg(F.min_by(row, F.struct(*order)).alias("head")))
     after = heads.select(
@@ -112,6 +127,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left")
     hot = hot if hot is not None else hot_keys(left, keys, rows, at_most)
+    if hot is None:
+        return left.join(right, keys, how)
     content = F.xxhash64(*[F.col(f"l.{c}") for c in left.columns])
     spread = left.alias("l").join(F.broadcast(hot.alias("h")), same_keys("l", "h", keys), "left") \
         .select("l.*", F.coalesce(F.pmod(content, F.col("h.slices")), F.lit(0)).alias("slice"))

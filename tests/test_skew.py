@@ -81,6 +81,7 @@ def test_cut_groups_splits_only_hot_keys(skewed):
     sizes = {r.key: r.n for r in cut.groupBy("key").agg(F.countDistinct("piece").alias("n")).collect()}
     assert sizes[7] > 4 and all(n == 1 for k, n in sizes.items() if k != 7)
     assert cut.count() == 400
+    assert cut_groups(skewed, ["key"], "ts", rows=1000) is None
 
 
 def test_lead_rows_equals_window(skewed):
