@@ -94,13 +94,14 @@ def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str
     piece takes the first row of the following piece; those first rows are gathered
     for hot keys only.
     """
-    row = F.struct(*[F.col(v) for v in values])
     cut = cut_groups(df, keys, order[0], rows, at_most)
     if cut is None:
-        led = df.withColumn("following", F.lead(row).over(Window.partitionBy(*keys).orderBy(*order)))
-        return led.select(*df.columns, *[F.col("following")[v].alias(prefix + v) for v in values])
-    led = cut.withColumn("following", F.lead(row).over(
-        Window.partitionBy(*keys, "piece").orderBy(*order)))
+        ahead = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({prefix + v: F.lead(v).over(ahead) for v in values})
+    ahead = Window.partitionBy(*keys, "piece").orderBy(*order)
+    led = cut.withColumns({**{prefix + v: F.lead(v).over(ahead) for v in values},
+                           "led": F.lead(F.lit(True)).over(ahead)})
+    row = F.struct(*[F.col(v) for v in values])
     heads = (cut.filter("is_hot").groupBy(*keys, "piece")
              .agg(F.min_by(row, F.struct(*order)).alias("head")))
     after = heads.select(
@@ -110,9 +111,10 @@ def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str
     joined = led.alias("d").join(
         F.broadcast(after.alias("p")),
         same_keys("d", "p", keys) & (F.col("d.piece") == F.col("p.piece")), "left")
-    found = F.coalesce(F.col("d.following"), F.col("p.next_head"))
-    return joined.select(*[F.col(f"d.{c}") for c in df.columns],
-                         *[found[v].alias(prefix + v) for v in values])
+    return joined.select(
+        *[F.col(f"d.{c}") for c in df.columns],
+        *[F.when(F.col("d.led"), F.col(f"d.{prefix}{v}")).otherwise(F.col("p.next_head")[v])
+          .alias(prefix + v) for v in values])
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",

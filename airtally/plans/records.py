@@ -205,8 +205,10 @@ def location_normalise(v: Views):
         F.concat(F.lit("place-"), F.col("event_id") % 4).alias("name"),
         (F.col("event_id") % 10000).alias("visibility"),
         (F.col("event_id") % 9 / 8).alias("lon"), (F.col("event_id") % 7 / 4).alias("lat")))
-    messages = v.envelope().drop("value").join(
-        v.events().select(F.col("event_id").alias("offset"), body.cast("binary").alias("value")), "offset")
+    key = F.to_json(F.struct(F.col("user_id").alias("id")))
+    messages = v.events().select(
+        key.cast("binary").alias("key"), body.cast("binary").alias("value"),
+        F.col("event_id").alias("offset"), F.col("event_ts").alias("timestamp"))
     decoded = topics.topic_decode(messages, feeds.LOCATION_TOPIC, feeds.LOCATION_KEY)
     moved = feeds.locations_from_topic(decoded, "2024/01/01 00:00:00", "2021/02/01 23:55:00",
                                        {3: 1003, 5: 1005})
