@@ -28,12 +28,11 @@ def ranked(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
         return local.withColumns({"next_val": F.coalesce("next_val", zero),
                                   "prev_val": F.coalesce("prev_val", zero)})
     # Pieces ascend with the value; walk them in the direction of the sort.
-    cut = cut.withColumn("piece", -F.col("piece") if descending else F.col("piece"))
-    local = _windows(cut, [*keys, "piece"], value, tiebreak, descending)
-    totals = _pieces_before(cut.filter("is_hot"), keys, order, descending)
-    # One row per piece of a hot partition: about rows(df) / rows of them.
+    walked = cut.rows.withColumn("piece", -F.col("piece") if descending else F.col("piece"))
+    local = _windows(walked, [*keys, "piece"], value, tiebreak, descending)
+    totals = _pieces_before(walked.filter("is_hot"), keys, order, descending)
     joined = local.alias("d").join(
-        F.broadcast(totals.alias("t")),
+        cut.sized(totals.alias("t")),
         same_keys("d", "t", keys) & (F.col("d.piece") == F.col("t.piece")), "left")
 
     def plus(column: str, before: str) -> Column:

@@ -81,7 +81,7 @@ def user_activity(events: DataFrame, tiebreak: list[str] | None = None,
     normal = whole_lists(typed.join(hot, "user_id", "left_anti"))
     # A piece, a range of the user's time, becomes one part of the list.
     heavy = cut_groups(typed.join(hot, "user_id", "left_semi"), ["user_id"], "event_ts", rows, at_most)
-    parts = heavy.groupBy("user_id", "piece").agg(types.alias("type_ints"))
+    parts = heavy.rows.groupBy("user_id", "piece").agg(types.alias("type_ints"))
     split = parts.join(hot, "user_id").select(
         "user_id", F.col("piece").alias("part"), "type_ints", "start", "end")
     return normal.unionByName(split)

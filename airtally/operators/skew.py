@@ -13,6 +13,8 @@ the driver and be broadcast.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,8 @@ HOT_ROWS = 2_000_000
 # The list of hot keys is broadcast, so its length has a hard bound. The keys
 # beyond it are the smaller ones and are handled unsplit: slower, never dropped.
 HOT_KEYS = 10_000
+# Tables with one row per piece are broadcast up to this many rows.
+BROADCAST_PIECES = 200_000
 
 
 def order_number(order: Column, data_type: T.DataType) -> Column:
@@ -47,8 +51,11 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, at_most: int
     None when there is none.
 
     The count combines on the map side over the key columns only; the biggest
-    ``at_most`` keys are kept as literal rows.
+    ``at_most`` keys are kept as literal rows. A stream cannot be counted ahead, so
+    there it is always None.
     """
+    if df.isStreaming:
+        return None
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"), *(extra or []))
     heavy = (counted.filter(F.col("key_rows") > rows)
              .withColumn("slices", F.ceil(F.col("key_rows") / F.lit(rows)).cast("int"))
@@ -64,9 +71,22 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
     return condition
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Rows with ``piece`` and ``is_hot``, and how many pieces hot keys have in all."""
+
+    rows: DataFrame
+    pieces: int
+
+    def sized(self, per_piece: DataFrame) -> DataFrame:
+        """A table with a row per hot piece, to be broadcast if it is short enough;
+        otherwise Spark joins it as it sees fit."""
+        return F.broadcast(per_piece) if self.pieces <= BROADCAST_PIECES else per_piece
+
+
 def cut_groups(df: DataFrame, keys: list[str], order: str, rows: int = HOT_ROWS,
-               at_most: int = HOT_KEYS) -> DataFrame | None:
-    """Add ``piece``, and ``is_hot``; None when no key is hot.
+               at_most: int = HOT_KEYS) -> Cut | None:
+    """Cut hot groups into pieces along ``order``; None when no key is hot.
 
     ``piece`` is 0 for normal keys and a range number along ``order`` for hot ones.
     Equal values of ``order`` share a piece, and pieces ascend with ``order``, so
@@ -77,11 +97,13 @@ def cut_groups(df: DataFrame, keys: list[str], order: str, rows: int = HOT_ROWS,
                    [F.min(number).alias("low"), F.max(number).alias("high")])
     if hot is None:
         return None
+    pieces = hot.agg(F.sum(F.col("slices") + 1)).first()[0]  # over literal rows
     width = (F.col("h.high") - F.col("h.low")) / F.col("h.slices")
     inside = F.col("h.slices").isNotNull() & F.col(order).isNotNull() & (width > 0)
     piece = F.when(inside, F.floor((number - F.col("h.low")) / width).cast("int")).otherwise(F.lit(0))
-    return (df.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left")
-            .select("d.*", piece.alias("piece"), F.col("h.slices").isNotNull().alias("is_hot")))
+    cut = (df.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left")
+           .select("d.*", piece.alias("piece"), F.col("h.slices").isNotNull().alias("is_hot")))
+    return Cut(cut, pieces)
 
 
 def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str],
@@ -99,17 +121,16 @@ def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str
         ahead = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + v: F.lead(v).over(ahead) for v in values})
     ahead = Window.partitionBy(*keys, "piece").orderBy(*order)
-    led = cut.withColumns({**{prefix + v: F.lead(v).over(ahead) for v in values},
+    led = cut.rows.withColumns({**{prefix + v: F.lead(v).over(ahead) for v in values},
                            "led": F.lead(F.lit(True)).over(ahead)})
     row = F.struct(*[F.col(v) for v in values])
-    heads = (cut.filter("is_hot").groupBy(*keys, "piece")
+    heads = (cut.rows.filter("is_hot").groupBy(*keys, "piece")
              .agg(F.min_by(row, F.struct(*order)).alias("head")))
     after = heads.select(
         *keys, "piece",
         F.lead("head").over(Window.partitionBy(*keys).orderBy("piece")).alias("next_head"))
-    # One row per piece of a hot key: rows(df) / rows of them plus one per hot key.
     joined = led.alias("d").join(
-        F.broadcast(after.alias("p")),
+        cut.sized(after.alias("p")),
         same_keys("d", "p", keys) & (F.col("d.piece") == F.col("p.piece")), "left")
     return joined.select(
         *[F.col(f"d.{c}") for c in df.columns],

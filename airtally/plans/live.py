@@ -11,7 +11,8 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airtally.operators import dashboards
+from airtally.operators import dashboards, enrich
+from airtally.operators.changes import latest_by_key
 from airtally.plans import panels, viewing  # noqa: F401  the batch twins come first
 from airtally.plans.records import EVENT
 from airtally.plans.registry import query
@@ -24,14 +25,15 @@ from airtally.streaming.runner import Live, kept, table_sink
 
 
 class Streams(Views):
-    """The test views with ``events`` read as a stream."""
+    """The test views with one table read as a stream."""
 
-    def __init__(self, views: Views):
+    def __init__(self, views: Views, flowing: str = "events"):
         super().__init__(views.spark, views.folder)
+        self.flowing = flowing
 
     def table(self, name: str) -> DataFrame:
         still = super().table(name)
-        if name != "events":
+        if name != self.flowing:
             return still
         # As a pattern, since a stream takes a folder or a pattern but not a single file.
         path = os.path.join(self.folder, f"[{name[0]}]{name[1:]}.parquet")
@@ -101,6 +103,36 @@ def poor_events_live(v: Views):
     return finish(rows, "poor")
 
 
+@query("event_customer_join_live", same_as="event_customer_join")
+def event_customer_join_live(v: Views):
+    events = Streams(v).events().select("event_id", "event_type", "event_ts", "event_amount",
+                                        F.col("user_id").alias("customer_id"))
+    people = v.customers().select("id", "last_name", "club_status", "nation")
+    joined = enrich.event_customer_join(events.withWatermark("event_ts", LATE["event"]), people)
+    return finish(joined, "joined")
+
+
+@query("ratings_enriched_live", same_as="ratings_enriched")
+def ratings_enriched_live(v: Views):
+    rated = enrich.ratings_enriched(Streams(v, "orders").ratings(), v.customer_changes(), ["version"])
+    return finish(rated, "rated")
+
+
+@query("unhappy_by_name_live", same_as="unhappy_by_name")
+def unhappy_by_name_live(v: Views):
+    rated = enrich.ratings_enriched(Streams(v, "orders").ratings(), v.customer_changes(), ["version"])
+    alerts = enrich.unhappy_premium(rated, status="BUILDING")
+    return finish(dashboards.count_by(alerts, "full_name"), "alerts", "complete")
+
+
+@query("latest_by_key_live", same_as="latest_by_key")
+def latest_by_key_live(v: Views):
+    """The table view of a change stream, kept up to date in update mode."""
+    newest = latest_by_key(Streams(v, "orders").changes(), ["key"], ["timestamp", "offset"])
+    slim = newest.select("key", "op", "offset", F.col("after.status").alias("status"))
+    return finish(slim, "newest", "update", ["key"])
+
+
 @query("topic_json_decode_live", same_as="topic_json_decode")
 def topic_json_decode_live(v: Views):
     return finish(topic_decode(Streams(v).envelope(), EVENT), "decoded")

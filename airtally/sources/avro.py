@@ -50,6 +50,11 @@ def avro_schema(schema: T.StructType, name: str = "topLevelRecord") -> str:
     return json.dumps(_record(schema, name))
 
 
+def schema_file(spark: SparkSession, path: str) -> str:
+    """Schema text of an ``.avsc`` file."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def subject_of(topic: str) -> str:
     """The name a topic's value schema is registered under."""
     return f"{topic}-value"

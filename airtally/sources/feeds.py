@@ -41,6 +41,10 @@ LOCATION_FILE = fields(device_id="integer", name="string", visibility="integer",
                        coord=fields(lon="float", lat="float"))
 LOCATION_TOPIC = fields(kdct="string", name="string", visibility="integer", lon="float", lat="float")
 LOCATION_KEY = fields(id="integer")
+# Views with viewer, as saved between two steps of the pipeline.
+SHOW_VIEW = fields(program_id="integer", channel_id="integer", program="string", channel="string",
+                   user_id="integer", device_id="integer", name="string", age="integer",
+                   gender="string", start_ts="string", end_ts="string")
 SHOW = fields(program="string", program_id="integer", start="string")
 CHANNEL = fields(channel="string", channel_id="integer",
                  schedule=T.MapType(T.StringType(), T.ArrayType(SHOW)))
@@ -81,6 +85,13 @@ def locations_from_topic(decoded: DataFrame, first: str = RECORDED_FROM, base: s
     return mapped.select("device_id", "location", "kdts", "lat", "lon", "visibility")
 
 
+def views_from_topic(decoded: DataFrame) -> DataFrame:
+    """Views saved to a topic and read back: their times return as text."""
+    timed = string_to_ts(string_to_ts(decoded, "start_ts", "start_ts", ISO_MILLIS),
+                         "end_ts", "end_ts", ISO_MILLIS)
+    return timed.drop("msgoffset", "msgtime")
+
+
 def locations_from_file(rows: DataFrame) -> DataFrame:
     """Position files: the coordinates as columns."""
     return rows.select("device_id", F.col("name").alias("location"), "visibility", "coord.*")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import (SESSIONS, VIEWS, actions, ads, at, channels, locations, rows, sessions, users)
 
-from airtally.operators import schedule
+from airtally.operators import enrich, schedule
 from airtally.operators.dashboards import count_by
 from airtally.operators.sessions import device_sessions
 from airtally.sources import documents, feeds, files, topics
@@ -222,6 +222,15 @@ def test_topic_sink_and_echo(spark, tmp_path):
     assert 0 < later.count() < 9
 
 
+def test_views_saved_between_steps(spark, tmp_path):
+    shows = schedule.shows_of(channels(spark))
+    views = enrich.with_demographics(enrich.show_views(sessions(spark), shows), users(spark))
+    topics.write_topic(views, str(tmp_path), "views", key="user_id")
+    back = feeds.views_from_topic(topics.topic_decode(
+        topics.topic_source(spark, str(tmp_path), "views", stream=False), feeds.SHOW_VIEW))
+    assert rows(back, *sorted(back.columns)) == rows(views, *sorted(views.columns))
+
+
 def test_file_index_and_table_sinks(spark, tmp_path):
     df = spark.createDataFrame([("Films", "a"), ("Books", "b")], "topic string, title string")
     drop_files(df, tmp_path / "in", [["Films"], ["Books"]], "topic")
