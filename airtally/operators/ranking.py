@@ -22,13 +22,14 @@ def ranked(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
     ``last_val``. Rows are ordered by ``order`` and then by ``tiebreak``.
     """
     value, zero = F.col(order), F.lit(0).cast(df.schema[order].dataType)
-    cut = cut_groups(df, keys, order, rows)
+    cut = cut_groups(df, keys, [order], rows)
     if cut is None:
         local = _windows(df, keys, value, tiebreak, descending)
         return local.withColumns({"next_val": F.coalesce("next_val", zero),
                                   "prev_val": F.coalesce("prev_val", zero)})
     # Pieces ascend with the value; walk them in the direction of the sort.
-    walked = cut.rows.withColumn("piece", -F.col("piece") if descending else F.col("piece"))
+    turned = F.transform("piece", lambda number: -number) if descending else F.col("piece")
+    walked = cut.rows.withColumn("piece", turned)
     local = _windows(walked, [*keys, "piece"], value, tiebreak, descending)
     totals = _pieces_before(walked.filter("is_hot"), keys, order, descending)
     joined = local.alias("d").join(

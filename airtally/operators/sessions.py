@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airtally.functions.values import type_number
@@ -80,10 +80,12 @@ def user_activity(events: DataFrame, tiebreak: list[str] | None = None,
     hot = F.broadcast(hot)  # at most ``at_most`` rows
     normal = whole_lists(typed.join(hot, "user_id", "left_anti"))
     # A piece, a range of the user's time, becomes one part of the list.
-    heavy = cut_groups(typed.join(hot, "user_id", "left_semi"), ["user_id"], "event_ts", rows, at_most)
+    heavy = cut_groups(typed.join(hot, "user_id", "left_semi"), ["user_id"], order, rows, at_most)
     parts = heavy.rows.groupBy("user_id", "piece").agg(types.alias("type_ints"))
-    split = parts.join(hot, "user_id").select(
-        "user_id", F.col("piece").alias("part"), "type_ints", "start", "end")
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("piece")) - 1
+    numbers = heavy.rows.select("user_id", "piece").distinct().withColumn("part", place)
+    split = (parts.join(heavy.sized(numbers), ["user_id", "piece"]).join(hot, "user_id")
+             .select("user_id", "part", "type_ints", "start", "end"))
     return normal.unionByName(split)
 
 

@@ -26,6 +26,10 @@ HOT_ROWS = 2_000_000
 HOT_KEYS = 10_000
 # Tables with one row per piece are broadcast up to this many rows.
 BROADCAST_PIECES = 200_000
+# How often pieces that are still too big are cut again.
+MAX_CUTS = 12
+# Types whose values can be cut into ranges.
+RANGED = (T.NumericType, T.DatetimeType)
 
 
 def order_number(order: Column, data_type: T.DataType) -> Column:
@@ -84,26 +88,41 @@ class Cut:
         return F.broadcast(per_piece) if self.pieces <= BROADCAST_PIECES else per_piece
 
 
-def cut_groups(df: DataFrame, keys: list[str], order: str, rows: int = HOT_ROWS,
+def cut_groups(df: DataFrame, keys: list[str], order: list[str], rows: int = HOT_ROWS,
                at_most: int = HOT_KEYS) -> Cut | None:
-    """Cut hot groups into pieces along ``order``; None when no key is hot.
+    """Cut hot groups into pieces along the ``order`` columns; None when no key is hot.
 
-    ``piece`` is 0 for normal keys and a range number along ``order`` for hot ones.
-    Equal values of ``order`` share a piece, and pieces ascend with ``order``, so
-    ranks, running totals and neighbours can be finished from piece totals.
+    ``piece`` is an array of range numbers, all 0 for normal keys; pieces sort like
+    their rows. A hot group is cut into equal ranges of the first order column. What
+    is still too big is cut again, and a group of copies of one value along the next
+    order column. Equal rows over all of ``order`` share a piece.
     """
-    number = order_number(F.col(order), df.schema[order].dataType)
-    hot = hot_keys(df, keys, rows, at_most,
-                   [F.min(number).alias("low"), F.max(number).alias("high")])
-    if hot is None:
-        return None
-    pieces = hot.agg(F.sum(F.col("slices") + 1)).first()[0]  # over literal rows
-    width = (F.col("h.high") - F.col("h.low")) / F.col("h.slices")
-    inside = F.col("h.slices").isNotNull() & F.col(order).isNotNull() & (width > 0)
-    piece = F.when(inside, F.floor((number - F.col("h.low")) / width).cast("int")).otherwise(F.lit(0))
-    cut = (df.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", keys), "left")
-           .select("d.*", piece.alias("piece"), F.col("h.slices").isNotNull().alias("is_hot")))
-    return Cut(cut, pieces)
+    columns = list(order)
+    cut, pieces = df.withColumns({"piece": F.array().cast("array<int>"), "is_hot": F.lit(False)}), 0
+    for step in range(MAX_CUTS):
+        if not columns or not isinstance(df.schema[columns[0]].dataType, RANGED):
+            break  # text cannot be cut into ranges
+        number = order_number(F.col(columns[0]), df.schema[columns[0]].dataType)
+        groups = [*keys, "piece"] if step else keys
+        hot = hot_keys(cut.filter("is_hot") if step else df, groups, 2 * rows if step else rows,
+                       at_most, [F.min(number).alias("low"), F.max(number).alias("high")])
+        if hot is None:
+            break
+        found = hot.select(F.sum(F.col("slices") + 2), F.max(F.col("high") - F.col("low"))).first()
+        if step and not found[1]:
+            columns = columns[1:]  # nothing but copies of single values left
+            continue
+        pieces += found[0]
+        width = (F.col("h.high") - F.col("h.low")) / F.col("h.slices")
+        here = F.col("h.slices").isNotNull()
+        part = (F.when(here & F.col(columns[0]).isNull(), F.lit(-1))  # nulls sort first
+                .when(here & (width > 0), F.floor((number - F.col("h.low")) / width).cast("int"))
+                .otherwise(F.lit(0)))
+        cut = (cut.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", groups), "left")
+               .select(*[F.col(f"d.{c}") for c in df.columns],
+                       F.concat(F.col("d.piece"), F.array(part)).alias("piece"),
+                       (F.col("d.is_hot") | here).alias("is_hot")))
+    return Cut(cut, pieces) if pieces else None
 
 
 def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str],
@@ -111,12 +130,11 @@ def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str
               at_most: int = HOT_KEYS) -> DataFrame:
     """``lead`` of several columns over ``keys`` ordered by ``order``.
 
-    ``order[0]`` is the sort column, the rest break ties. Without hot keys this is
-    the ordinary window. Otherwise it runs inside pieces, and the last row of a
+    Without hot keys this is the ordinary window. Otherwise it runs inside pieces, and the last row of a
     piece takes the first row of the following piece; those first rows are gathered
     for hot keys only.
     """
-    cut = cut_groups(df, keys, order[0], rows, at_most)
+    cut = cut_groups(df, keys, order, rows, at_most)
     if cut is None:
         ahead = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + v: F.lead(v).over(ahead) for v in values})

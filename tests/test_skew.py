@@ -77,12 +77,30 @@ def skewed(spark):
 
 
 def test_cut_groups_splits_only_hot_keys(skewed):
-    found = cut_groups(skewed, ["key"], "ts", rows=20)
+    found = cut_groups(skewed, ["key"], ["ts", "id"], rows=20)
     cut = found.rows
     sizes = {r.key: r.n for r in cut.groupBy("key").agg(F.countDistinct("piece").alias("n")).collect()}
     assert sizes[7] > 4 and all(n == 1 for k, n in sizes.items() if k != 7)
     assert cut.count() == 400 and found.pieces >= sizes[7]
-    assert cut_groups(skewed, ["key"], "ts", rows=1000) is None
+    assert cut_groups(skewed, ["key"], ["ts"], rows=1000) is None
+
+
+def test_bursts_and_copies_are_cut_too(spark):
+    """A key with a burst in one second, many copies of one instant, and no times."""
+    data = [(i, 1, DAY + timedelta(seconds=5)) for i in range(200)]
+    data += [(i, 1, DAY + timedelta(days=30, microseconds=i)) for i in range(200, 400)]
+    data += [(i, 1, None) for i in range(400, 500)] + [(i, 2, DAY) for i in range(500, 520)]
+    df = spark.createDataFrame(data, "id int, key int, ts timestamp")
+    cut = cut_groups(df, ["key"], ["ts", "id"], rows=20).rows
+    assert cut.groupBy("key", "piece").count().agg(F.max("count")).first()[0] <= 60
+    w = Window.partitionBy("key").orderBy("ts", "id")
+    want = rows(df.select("id", F.lead("id").over(w), F.lead("ts").over(w)))
+    assert rows(lead_rows(df, ["key"], ["ts", "id"], ["id", "ts"], rows=20), "id", "next_id", "next_ts") == want
+    amounts = df.withColumn("amount", F.unix_micros("ts"))
+    down = Window.partitionBy("key").orderBy(F.desc("amount"), "id")
+    want = rows(amounts.select("id", F.row_number().over(down), F.rank().over(
+        Window.partitionBy("key").orderBy(F.desc("amount")))))
+    assert rows(ranked(amounts, ["key"], "amount", ["id"], rows=20), "id", "row_number", "rank") == want
 
 
 def test_lead_rows_equals_window(skewed):
