@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from airtally.operators import textmodel
+from airtally.operators.dashboards import classification_report
 from airtally.plans.registry import query
 from airtally.plans.views import Views
 
@@ -34,3 +37,29 @@ def text_model_scores(v: Views):
     train, test = labelled(v).randomSplit(textmodel.SPLIT_WEIGHTS, textmodel.SPLIT_SEED)
     model = textmodel.fit_text_model(train)
     return textmodel.scores(model, test).select("doc_id", "label", "prediction", "score")
+
+
+@query("text_top_terms")
+def text_top_terms(v: Views):
+    """The five terms that speak most for class 1 and the five that speak least."""
+    texts = labelled(v)
+    weights = textmodel.term_weights(textmodel.fit_text_model(texts), texts)
+    return textmodel.top_weighted(weights).unionByName(textmodel.top_weighted(weights, largest=False))
+
+
+@query("text_model_quality")
+def text_model_quality(v: Views):
+    """Confusion matrix, precision, recall, accuracy and area under the ROC curve."""
+    train, test = labelled(v).randomSplit(textmodel.SPLIT_WEIGHTS, textmodel.SPLIT_SEED)
+    predicted = textmodel.fit_text_model(train).transform(test)
+    area = textmodel.area_under_roc(predicted)
+    return classification_report(predicted).withColumn("area_under_roc", F.lit(area))
+
+
+@query("text_top_scored")
+def text_top_scored(v: Views):
+    """The five most certain texts of each predicted class."""
+    train, test = labelled(v).randomSplit(textmodel.SPLIT_WEIGHTS, textmodel.SPLIT_SEED)
+    scored = textmodel.scores(textmodel.fit_text_model(train), test)
+    best = [textmodel.top_scored(scored, c) for c in (0.0, 1.0)]
+    return best[0].unionByName(best[1]).select("doc_id", "overall", "prediction", "score")

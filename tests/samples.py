@@ -19,7 +19,8 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in picked.collect()), key=repr)
 
 
-# The device actions, schedules, ads, users and positions of the demo day.
+# The device actions, schedules, ads, users and positions of the demo day,
+# the nested sensor records and the salaries.
 ACTIONS = [
     ("u45", 45, 57, 14, 1, 1612223787), ("u45", 45, 57, 14, 2, 1612223954),
     ("u45", 45, 57, 15, 1, 1612224091), ("u45", 45, 57, 15, 2, 1612224172),

@@ -15,7 +15,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(contract.SMALL), reason="no te
 def test_contract():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     without = set(contract.queries()) - set(contract.oracle_sql())
-    assert without == {"limit_rows", "stratified_sample", "random_split", "text_model_scores"}
+    assert without == {"limit_rows", "stratified_sample", "random_split", "text_model_scores",
+                       "text_model_quality", "text_top_scored", "text_top_terms"}
 
 
 def test_entry(spark):
