@@ -24,6 +24,10 @@ from airtally.streaming import joins, state
 from airtally.streaming.runner import Live, kept, table_sink
 
 
+# The test sessions run for days.
+MONTH = "31 days"
+
+
 class Streams(Views):
     """The test views with one table read as a stream."""
 
@@ -146,9 +150,9 @@ def show_watch_overlap_live(v: Views):
 
 @query("ad_view_overlap_live", same_as="ad_view_overlap")
 def ad_view_overlap_live(v: Views):
-    sessions = from_table(v.sessions(), "session-stream").withWatermark("start_ts", LATE["session"])
+    sessions = from_table(v.sessions(), "session-stream").withWatermark("end_ts", LATE["session"])
     ads = ads_from_topic(Streams(v).ad_starts()).withWatermark("start_ts", LATE["ad"])
-    return finish(joins.ad_views_live(ads, sessions).drop("mark_ts"), "ads")
+    return finish(joins.ad_views_live(ads, sessions, longest=MONTH).drop("mark_ts"), "ads")
 
 
 @query("show_watch_live", ["show_people", "locations"], """
@@ -160,6 +164,6 @@ FROM show_people v JOIN locations l
 def show_watch_live(v: Views):
     """The flagship as one streaming query, matched rows; unmatched ones would wait
     for a later watermark that a bounded stream never sends."""
-    sessions = from_table(v.sessions(), "session-stream").withWatermark("start_ts", LATE["view"])
+    sessions = from_table(v.sessions(), "session-stream").withWatermark("end_ts", LATE["view"])
     places = Streams(v).locations().withWatermark("kdts", LATE["location"])
-    return finish(joins.show_watch_live(sessions, v.shows_table(), v.users(), places, "inner"), "watch")
+    return finish(joins.show_watch_live(sessions, v.shows_table(), v.users(), places, "inner", MONTH), "watch")

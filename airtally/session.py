@@ -38,9 +38,17 @@ def build_session(app: str = "airtally", master: str | None = None,
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built.
+
+    On one machine Spark's default of 200 shuffle partitions means 200 state stores
+    per join of a stream, so there it becomes the number of cores. A cluster keeps
+    what it was given.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    partitions = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.master.startswith("local") and spark.conf.get(partitions) == "200":
+        spark.conf.set(partitions, str(spark.sparkContext.defaultParallelism))
     return spark
 
 

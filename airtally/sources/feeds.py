@@ -128,7 +128,7 @@ class Feeds:
     def sessions(self, topic: str = "session", offset: int = 0) -> DataFrame:
         rows = sessions_from_topic(self._topic(topic, SESSION_TOPIC, offset=offset)) \
             if self.from_topics else self._files("session", SESSION_FILE)
-        return self._marked(rows, "start_ts", "session")
+        return self._marked(rows, "end_ts", "session")  # a session is known when it ends
 
     def ads(self, topic: str = "ad", offset: int = 0) -> DataFrame:
         rows = ads_from_topic(self._topic(topic, AD_TOPIC, offset=offset)) \

@@ -1,17 +1,26 @@
 """The viewing joins on streams.
 
-Watermarks come with the feeds and are never set again here. After a stream-stream
-join only one time column with a watermark may go on, so the start of one side is
-kept as ``mark_ts`` and the computed interval carries the values.
+Watermarks come with the feeds and are never set again here. A session is marked by
+its end, as it is only known then; an ad by its start. Spark drops a row from the
+join state by its marked column alone, so every join states a bound on the marks
+that follows from the intervals and from ``longest``, how long a session and an ad
+may be together. With that no row leaves the state while a partner may still come.
+Of a stream-stream join one mark goes on, as ``mark_ts``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtally.operators.intervals import interval_overlap
 
+LONGEST = "24 hours"
+
+
+def _span(longest: str) -> Column:
+    return F.expr(f"INTERVAL {longest}")
+
 
 def show_views_live(sessions: DataFrame, shows: DataFrame) -> DataFrame:
     """Session stream x static shows."""
@@ -20,17 +29,26 @@ def show_views_live(sessions: DataFrame, shows: DataFrame) -> DataFrame:
         F.col("b_program_id").alias("program_id"), F.col("b_program").alias("program"),
         F.col("b_channel_id").alias("channel_id"), F.col("b_channel").alias("channel"),
         F.col("a_user_id").alias("user_id"), F.col("a_device_id").alias("device_id"),
-        "start_ts", "end_ts", F.col("a_start_ts").alias("mark_ts"))
-
-
-def ad_views_live(ads: DataFrame, sessions: DataFrame, how: str = "inner") -> DataFrame:
-    """Ad stream x session stream; ``left_outer`` emits an unseen ad once the
-    watermark has passed it."""
-    pairs = interval_overlap(ads, sessions, "channel_id", how=how, method="plain")
-    return pairs.select(
-        F.col("a_ad_id").alias("ad_id"), F.col("a_channel_id").alias("channel_id"),
-        F.col("b_user_id").alias("user_id"), F.col("b_device_id").alias("device_id"),
-        "start_ts", "end_ts", F.col("a_start_ts").alias("mark_ts"))
+        "start_ts", "end_ts", F.col("a_end_ts").alias("mark_ts"))
+
+
+def ad_views_live(ads: DataFrame, sessions: DataFrame, how: str = "inner",
+                  longest: str = LONGEST) -> DataFrame:
+    """Ad stream x session stream; ``left_outer`` emits an unseen ad, with its own
+    interval, once no session can reach it any more."""
+    seen = ads.select("ad_id", F.col("channel_id").alias("ad_channel"),
+                      F.col("start_ts").alias("ad_start"), F.col("end_ts").alias("ad_end"))
+    watched = sessions.select("user_id", "device_id", F.col("channel_id").alias("session_channel"),
+                              F.col("start_ts").alias("session_start"),
+                              F.col("end_ts").alias("session_end"))
+    touch = ((F.col("ad_channel") == F.col("session_channel"))
+             & (F.col("session_start") <= F.col("ad_end"))
+             & (F.col("session_end") >= F.col("ad_start"))
+             & (F.col("ad_start") >= F.col("session_end") - _span(longest)))
+    return seen.join(watched, touch, how).select(
+        "ad_id", F.col("ad_channel").alias("channel_id"), "user_id", "device_id",
+        F.greatest("session_start", "ad_start").alias("start_ts"),
+        F.least("session_end", "ad_end").alias("end_ts"), F.col("session_end").alias("mark_ts"))
 
 
 def with_demographics_live(views: DataFrame, users: DataFrame) -> DataFrame:
@@ -38,26 +56,28 @@ def with_demographics_live(views: DataFrame, users: DataFrame) -> DataFrame:
     return views.join(users.select("user_id", "name", "age", "gender"), "user_id")
 
 
-def with_locations_live(views: DataFrame, locations: DataFrame, how: str = "left_outer") -> DataFrame:
-    """View stream x position stream. ``mark_ts`` is not after ``start_ts``, so the
-    condition on it changes no result and lets old positions leave the state."""
+def with_locations_live(views: DataFrame, locations: DataFrame, how: str = "left_outer",
+                        longest: str = LONGEST) -> DataFrame:
+    """View stream x position stream. A view lies inside its session, which ends at
+    ``mark_ts``, so the conditions on it change no result."""
     points = locations.select("device_id", "kdts", "lon", "lat", "visibility")
     named = views.withColumnRenamed("device_id", "view_device_id")
+    at, mark = F.col("kdts"), F.col("mark_ts")
     inside = ((F.col("view_device_id") == F.col("device_id"))
-              & (F.col("mark_ts") <= F.col("kdts"))
-              & (F.col("start_ts") <= F.col("kdts")) & (F.col("end_ts") >= F.col("kdts")))
+              & (F.col("start_ts") <= at) & (F.col("end_ts") >= at)
+              & (mark >= at) & (at >= mark - _span(longest)))
     return named.join(points, inside, how)
 
 
-def show_watch_live(sessions: DataFrame, shows: DataFrame, users: DataFrame,
-                    locations: DataFrame, how: str = "left_outer") -> DataFrame:
+def show_watch_live(sessions: DataFrame, shows: DataFrame, users: DataFrame, locations: DataFrame,
+                    how: str = "left_outer", longest: str = LONGEST) -> DataFrame:
     """The whole show pipeline as one streaming query."""
     views = with_demographics_live(show_views_live(sessions, shows), users)
-    return with_locations_live(views, locations, how).drop("mark_ts")
+    return with_locations_live(views, locations, how, longest).drop("mark_ts")
 
 
-def ad_view_live(ads: DataFrame, sessions: DataFrame, users: DataFrame,
-                 locations: DataFrame, how: str = "left_outer") -> DataFrame:
+def ad_view_live(ads: DataFrame, sessions: DataFrame, users: DataFrame, locations: DataFrame,
+                 how: str = "left_outer", longest: str = LONGEST) -> DataFrame:
     """The whole ad pipeline as one streaming query."""
-    views = with_demographics_live(ad_views_live(ads, sessions), users)
-    return with_locations_live(views, locations, how).drop("mark_ts")
+    views = with_demographics_live(ad_views_live(ads, sessions, longest=longest), users)
+    return with_locations_live(views, locations, how, longest).drop("mark_ts")

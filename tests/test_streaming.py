@@ -110,7 +110,7 @@ def test_show_pipeline_matches_batch(spark, tmp_path):
         time.sleep(0.05)
         later.withColumn("channel_id", F.lit(1000 + n)).coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
         moved.withColumn("device_id", F.lit(1000 + n)).coalesce(1).write.mode("append").parquet(str(tmp_path / "p"))
-    marked = stream_of(spark, sess, tmp_path / "s").withWatermark("start_ts", feeds.LATE["view"])
+    marked = stream_of(spark, sess, tmp_path / "s").withWatermark("end_ts", feeds.LATE["view"])
     points = stream_of(spark, places, tmp_path / "p").withWatermark("kdts", feeds.LATE["location"])
     shows = schedule.shows_of(channels(spark))
     got = finish(Live("w", joins.show_watch_live(marked, shows, users(spark), points)), tmp_path / "out")
@@ -131,7 +131,7 @@ def test_ad_pipeline_and_unseen_ads(spark, tmp_path):
         for df, name in ((sess, "s"), (shown, "a")):
             (df.limit(1).withColumns(later).withColumn("channel_id", F.lit(1000 + n) if name == "s" else F.lit(2000 + n))
              .coalesce(1).write.mode("append").parquet(str(tmp_path / name)))
-    marked = stream_of(spark, sess, tmp_path / "s").withWatermark("start_ts", feeds.LATE["session"])
+    marked = stream_of(spark, sess, tmp_path / "s").withWatermark("end_ts", feeds.LATE["session"])
     adverts = stream_of(spark, shown, tmp_path / "a").withWatermark("start_ts", feeds.LATE["ad"])
     got = finish(Live("a", joins.ad_views_live(adverts, marked, "left_outer")), tmp_path / "out")
     night = got.filter("channel_id < 1000")
@@ -144,6 +144,39 @@ def test_ad_pipeline_and_unseen_ads(spark, tmp_path):
     assert finish(Live("f", full), tmp_path / "out").count() == 0
 
 
+def test_a_long_view_waits_for_its_points(spark, tmp_path):
+    """The watermark passes the start of a view long before its last point comes."""
+    def put(name, data, schema, *times):
+        df = spark.createDataFrame(data, schema)
+        df = df.withColumns({t: F.concat(F.lit("2024-01-01 "), t).cast("timestamp") for t in times})
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        time.sleep(0.05)
+        return df
+    sess = [(1, 1, 5, "00:00:00", "10:00:00"), (2, 2, 5, "05:00:00", "05:10:00"),
+            (2, 2, 5, "08:30:00", "08:40:00"), (2, 2, 5, "23:30:00", "23:40:00"), (2, 2, 5, "23:31:00", "23:41:00")]
+    dots = [(1, "00:30:00"), (9, "05:00:00"), (1, "08:30:00"), (9, "23:30:00"), (9, "23:40:00")]
+    advert = [(1, 5, "00:10:00", "09:00:00"), (2, 6, "05:00:00", "05:01:00"), (2, 6, "08:30:00", "08:31:00"),
+              (2, 6, "23:30:00", "23:31:00"), (2, 6, "23:31:00", "23:32:00")]
+    for s, d, a in zip(sess, dots, advert):
+        sdf = put("s", [s], "user_id int, device_id int, channel_id int, start_ts string, end_ts string",
+                  "start_ts", "end_ts")
+        pdf = put("p", [(*d, 0.0, 0.0, 1)], "device_id int, kdts string, lon double, lat double, visibility int", "kdts")
+        adf = put("a", [a], "ad_id int, channel_id int, start_ts string, end_ts string", "start_ts", "end_ts")
+    shows = spark.sql("SELECT 5 AS channel_id, 'c' AS channel, 1 AS program_id, 'p' AS program, "
+                      "timestamp'2024-01-01 00:00:00' AS start_ts, timestamp'2024-01-02 00:00:00' AS end_ts")
+    people = spark.createDataFrame([(1, "a", 1, "M"), (2, "b", 1, "F")], "user_id int, name string, age int, gender string")
+    flow = stream_of(spark, sdf, tmp_path / "s").withWatermark("end_ts", "90 seconds")
+    points = stream_of(spark, pdf, tmp_path / "p").withWatermark("kdts", "60 seconds")
+    got = finish(Live("w", joins.show_watch_live(flow, shows, people, points, longest="11 hours")), tmp_path / "out")
+    assert rows(got.filter("user_id = 1"), "kdts") == [(at("2024-01-01 00:30:00"),), (at("2024-01-01 08:30:00"),)]
+    assert got.filter("user_id = 2 AND kdts IS NULL").count() >= 2
+    adverts = stream_of(spark, adf, tmp_path / "a").withWatermark("start_ts", "60 seconds")
+    views = finish(Live("a", joins.ad_views_live(adverts, flow, longest="20 hours")), tmp_path / "out")
+    # The long ad also meets the sessions that came after the watermark had passed it.
+    assert rows(views.filter("ad_id = 1"), "user_id", "start_ts") == [
+        (1, at("2024-01-01 00:10:00")), (2, at("2024-01-01 05:00:00")), (2, at("2024-01-01 08:30:00"))]
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     data = [(1, "2024-01-01 00:00:01"), (2, "2024-01-01 01:00:00"), (3, "2024-01-01 02:00:00"),
             (4, "2024-01-01 00:00:02"), (5, "2024-01-01 03:00:00")]
