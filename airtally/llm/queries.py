@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airtally.llm import language, quality, secrets, toxicity
+from airtally.llm import bpe, language, quality, secrets, toxicity
 from airtally.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,19 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find(table(spark, sf_dir, "documents")))
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public vocabulary file; the package that holds them is installed beside Spark."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), vocabulary_path()
+    return bpe.digest(docs, path, bpe.lexicon(docs, path))
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
