@@ -7,9 +7,11 @@ they must then share prefix tokens under the second and third order too before t
 compared. Orders are hashes, with tokens frequent in the corpus' prefixes moved to the end.
 
 Near-copy groups are not expanded into pairs. Equal sets are one node. Each shared token first
-compares its nodes with its smallest node only; what links becomes a component. Then
-only pairs across different components, of a fitting size and sharing enough prefix tokens, are
-compared, so no link between different components is missed.
+compares its nodes with its leader only, the node with the fewest tokens of its own; what links
+becomes a component. Then only pairs across different components, of a fitting size and sharing as
+many prefix tokens as similar sets must, are compared, so no link between different
+components is missed. Tokens of near-copy groups and common passages are ordered last, so a
+copy's own changes fill its prefix and rule out distant copies without a comparison.
 
 Cases: null or empty text, or text without words: no shingles, linked with nothing (its own
 component); a row without doc_id gets the component of its set, null if no row of it has
@@ -20,7 +22,7 @@ table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,9 @@ WIDTH, PERCENT = 4, 85
 #: Prefix tokens that similar sets must share at least (fewer for tiny sets).
 SHARED = 3
 #: A prefix token in more documents than this is frequent; so many frequent tokens are ordered last.
-FREQUENT, MOST_FREQUENT = 32, 200_000
+FREQUENT, MOST_FREQUENT = 32, 1_000_000
+#: Share of frequent tokens in a prefix from which on all tokens of the document are counted.
+HOT_SHARE = 0.1
 #: Node ids up to this number are broadcast to pick texts; above it they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -52,6 +56,19 @@ def _tokens(text: str, width: int) -> np.ndarray:
     return words.shingles(np.frombuffer(lowered, np.uint8), width)
 
 
+def _among(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(tokens), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
+
+
+def _place(prefix_tokens: np.ndarray, frequent: np.ndarray) -> int:
+    """A number that grows with the place of the prefix' last token in the first order."""
+    if not len(prefix_tokens):
+        return 0
+    return int(_among(prefix_tokens[-1:], frequent)[0]) << 62 | int(prefix_tokens[-1]) >> 2
+
+
 def prefix(tokens: np.ndarray, order: int, frequent: np.ndarray, percent: int, shared: int) -> np.ndarray:
     """The first tokens of the set under one of the global orders.
 
@@ -62,9 +79,7 @@ def prefix(tokens: np.ndarray, order: int, frequent: np.ndarray, percent: int, s
     length = len(tokens) - least + min(shared, least)
     keys = tokens if order == 0 else words.mixed(tokens + np.uint64(order * 0x9E3779B97F4A7C15 % (1 << 64)))
     if len(frequent):
-        at = np.searchsorted(frequent, tokens)
-        last = frequent[np.minimum(at, len(frequent) - 1)] == tokens
-        return tokens[np.lexsort((keys, last))[:length]]
+        return tokens[np.lexsort((keys, _among(tokens, frequent)))[:length]]
     return tokens[np.argsort(keys, kind="stable")[:length]]
 
 
@@ -75,27 +90,43 @@ def _flat(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def frequent_tokens(docs: DataFrame, width: int, percent: int, shared: int) -> np.ndarray:
-    """The most frequent of all prefix tokens, sorted: a bounded list for the orders.
+    """The most frequent tokens, sorted: a bounded list for the orders.
 
-    All documents are counted. The list only shapes the orders; results do not depend on it.
+    First the prefix tokens of all documents are counted, then all tokens of the documents
+    with many frequent ones. The list only shapes the orders; results do not depend on it.
     """
     none = np.zeros(0, np.uint64)
+    spark = docs.sparkSession.sparkContext
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                found = [prefix(_tokens(text, width), 0, none, percent, shared)
-                         for text in common.texts_of(batch.slice(at, 1000))]
-                yield pa.RecordBatch.from_arrays([_flat(found).values], ["token"])
+    def counted(of_set: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    found = [of_set(_tokens(text, width)) for text in common.texts_of(batch.slice(at, 1000))]
+                    yield pa.RecordBatch.from_arrays([_flat(found).values], ["token"])
 
-    top = (docs.select("text").mapInArrow(work, "token bigint").groupBy("token").count()
-           .where(F.col("count") > FREQUENT).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)
-           .select("token").toArrow())
-    return np.sort(top.column("token").to_numpy().astype(np.int64).view(np.uint64))
+        top = (docs.select("text").mapInArrow(work, "token bigint").groupBy("token").count()
+               .where(F.col("count") > FREQUENT).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)
+               .select("token").toArrow())
+        return np.sort(top.column("token").to_numpy().astype(np.int64).view(np.uint64))
+
+    def first(tokens: np.ndarray) -> np.ndarray:
+        return prefix(tokens, 0, none, percent, shared)
+
+    start = counted(first)
+    if not len(start):
+        return start
+    known = spark.broadcast(start)
+
+    def hot(tokens: np.ndarray) -> np.ndarray:
+        found = _among(first(tokens), known.value)
+        return tokens if len(found) and found.mean() >= HOT_SHARE else tokens[:0]
+
+    return np.union1d(start, counted(hot))
 
 
 def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int, shared: int) -> DataFrame:
-    """(doc_id, n, set_id, prefix) of every row."""
+    """(doc_id, n, set_id, last, prefix) of every row; ``last`` is the place of the prefix' end."""
     shared_list = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +134,15 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int, s
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 sets = [_tokens(text, width) for text in common.texts_of(part)]
+                firsts = [prefix(s, 0, shared_list.value, percent, shared) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                     _flat([prefix(s, 0, shared_list.value, percent, shared) for s in sets])],
-                    ["doc_id", "n", "set_id", "prefix"])
+                     pa.array([_place(f, shared_list.value) for f in firsts], pa.int64()), _flat(firsts)],
+                    ["doc_id", "n", "set_id", "last", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id bigint, n bigint, set_id binary, prefix array<bigint>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        work, "doc_id bigint, n bigint, set_id binary, last bigint, prefix array<bigint>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, frequent: np.ndarray, width: int, percent: int, shared: int) -> DataFrame:
@@ -128,7 +161,7 @@ def _sets(docs: DataFrame, ids: DataFrame, frequent: np.ndarray, width: int, per
                     ["node", "n", "tokens", "second", "third"])
 
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = (docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi").distinct())
+    rows = (docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi").distinct())
     return rows.mapInArrow(work, "node bigint, n bigint, tokens array<bigint>, second array<bigint>, third array<bigint>")
 
 
@@ -152,25 +185,19 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shar
     frequent = frequent_tokens(docs, *args)
     profiles = written(_profiles(docs, frequent, *args), "profiles")
     # Equal sets have equal prefixes, so any of them is the class's.
-    classes = written(profiles.where(F.col("n") > 0).groupBy("set_id", "n")
+    classes = written(profiles.where(F.col("n") > 0).groupBy("set_id", "n", "last")
                       .agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix")), "classes")
     members = written(profiles.select("doc_id", "n", "set_id")
                       .join(classes.select("set_id", "node"), "set_id", "left").select("doc_id", "n", "node"), "members")
-
-    tokens = classes.where(F.col("node").isNotNull()).select("node", "n", F.explode("prefix").alias("token"))
-    leaders = (tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last"),
-                                           F.min_by("n", "node").alias("leader_n"))
-               .where(F.col("leader") < F.col("last")).drop("last"))
-    meets = written(tokens.join(leaders, "token"), "meets")
-
-    def enough(n_a: str, n_b: str) -> Column:
-        """Of a fitting size, and with as many shared prefix tokens as similar sets have."""
-        low, high = F.least(n_a, n_b), F.greatest(n_a, n_b)
-        return (low * 100 >= high * percent) & (F.col("count") >= F.least(F.lit(shared), _least_common(low, percent)))
-
-    stars = written(meets.where(F.col("node") != F.col("leader"))
-                    .groupBy(F.col("leader").alias("a"), F.col("node").alias("b"), "leader_n", "n").count()
-                    .where(enough("leader_n", "n")).select("a", "b"), "stars")
+    meets = _meets(classes)
+
+    leaders = meets.groupBy("token").agg(*[F.min_by(c, "own").alias(f"{c}_a") for c in ("node", "n")])
+    stars = (meets.join(leaders, "token").where(F.col("node") != F.col("node_a"))
+             .groupBy("node_a", "n_a", "node", "n").count()
+             .where(_fits(F.col("n_a"), F.col("n"), percent)
+                    & (F.col("count") >= F.least(F.lit(shared), _least_common(F.least("n_a", "n"), percent)))))
+    stars = written(stars.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
+                    .distinct(), "stars")
     # Sets of one doc_id belong to one document.
     first = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     same = members.join(first.where(F.col("a") < F.col("b")).select("doc_id", "a"), "doc_id").select(
@@ -178,10 +205,7 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shar
     linked = written(_linked(stars, docs, frequent, *args).union(same).distinct(), "links")
     labels = graph.components(linked)
 
-    across = _across(meets, labels, percent).groupBy("a", "b", "n_a", "n_b").count().where(enough("n_a", "n_b"))
-    # Both orders of a tested pair: stars have the smaller id first.
-    across = written(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                     .join(stars, ["a", "b"], "left_anti"), "pairs")
+    across = written(_across(meets, labels, percent, shared).join(stars, ["a", "b"], "left_anti"), "pairs")
     if not across.isEmpty():
         more = _linked(across, docs, frequent, *args)
         labels = graph.components(linked.union(more))
@@ -190,19 +214,61 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shar
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("linked", "node")).alias("component_id")))
 
 
-def _across(meets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components that share a token, a row per token; the
-    larger set first. Sizes meet in bands, as similar sets differ by at most one band."""
+def _meets(classes: DataFrame) -> DataFrame:
+    """(token, node, n, last, met, own): a row for each prefix token that several nodes have.
+
+    ``met`` counts the node's rows here. ``own`` orders nodes by the share of their prefix that no
+    other node has, a hash of the node settling ties.
+    """
+    tokens = classes.where(F.col("node").isNotNull()).select(
+        "node", "n", "last", F.size("prefix").alias("length"), F.explode("prefix").alias("token"))
+    several = (tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+               .where(F.col("low") < F.col("high")).select("token"))
+    rows = written(tokens.join(several, "token"), "shared")
+    met = rows.groupBy("node", "n", "last").agg(F.count("*").alias("met"))
+    share = F.floor((1 - F.col("met") / F.col("length")) * 1000).cast("long")
+    own = F.shiftleft(F.greatest(share, F.lit(0)), 44).bitwiseOR(F.shiftrightunsigned(F.xxhash64("node"), 20))
+    return written(rows.join(met, ["node", "n", "last"]).select("token", "node", "n", "last", "met", own.alias("own")),
+                   "meets")
+
+
+def _fits(n_a: Column, n_b: Column, percent: int) -> Column:
+    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
+
+
+def _needed(percent: int, shared: int) -> Column:
+    """Prefix tokens that similar sets of columns ``_a`` and ``_b`` share.
+
+    What they share beyond the prefix that ends first is at most the rest of that set.
+    """
+    def rest(side: str) -> Column:
+        least = _least_common(F.col(f"n_{side}"), percent)
+        return least - F.least(F.lit(shared), least)
+
+    overlap = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-9)).cast("long")
+    return overlap - (F.when(F.col("last_a") < F.col("last_b"), rest("a"))
+                      .when(F.col("last_a") > F.col("last_b"), rest("b")).otherwise(F.greatest(rest("a"), rest("b"))))
+
+
+def _across(meets: DataFrame, labels: DataFrame, percent: int, shared: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that share enough prefix tokens.
+
+    Sizes meet in bands, as those of similar sets differ by at most one band and rounding.
+    """
     known = (meets.join(labels, "node", "left")
-             .select("token", "node", "n", F.coalesce("label", "node").alias("component")))
+             .select("token", "node", "n", "last", "met", F.coalesce("label", "node").alias("component")))
     mixed = (known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where(F.col("low") < F.col("high")).select("token"))
     rows = written(known.join(mixed, "token"), "mixed").withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int"))
-    large = rows.select("token", "band", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "component")])
+    names = ("node", "n", "last", "met", "component")
+    large = rows.select("token", "band", *[F.col(c).alias(f"{c}_a") for c in names])
     small = rows.select("token", F.explode(F.array("band", F.col("band") + 1, F.col("band") + 2)).alias("band"),
-                        *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")])
-    fits = ((F.col("component_a") != F.col("component_b")) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-            & ((F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))))
-    return large.join(small, ["token", "band"]).where(fits).select(
-        F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
+                        *[F.col(c).alias(f"{c}_b") for c in names])
+    needed = _needed(percent, shared)
+    fits = ((F.col("component_a") != F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent)
+            & ((F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))))
+            & (F.least("met_a", "met_b") >= needed))
+    pairs = (large.join(small, ["token", "band"]).where(fits)
+             .groupBy("node_a", "node_b", "n_a", "n_b", "last_a", "last_b").count().where(F.col("count") >= needed))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
