@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airtally.llm import common, graph, words
@@ -215,21 +215,23 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shar
 
 
 def _meets(classes: DataFrame) -> DataFrame:
-    """(token, node, n, last, met, own): a row for each prefix token that several nodes have.
+    """(token, node, n, last, met, k, own): a row for each prefix token that several nodes have.
 
-    ``met`` counts the node's rows here. ``own`` orders nodes by the share of their prefix that no
-    other node has, a hash of the node settling ties.
+    ``met`` counts the node's rows here, ``k`` numbers them in the first order. ``own`` orders
+    nodes by the share of their prefix that no other node has, a hash settling ties.
     """
     tokens = classes.where(F.col("node").isNotNull()).select(
-        "node", "n", "last", F.size("prefix").alias("length"), F.explode("prefix").alias("token"))
+        "node", "n", "last", F.size("prefix").alias("length"), F.posexplode("prefix").alias("place", "token"))
     several = (tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                .where(F.col("low") < F.col("high")).select("token"))
-    rows = written(tokens.join(several, "token"), "shared")
-    met = rows.groupBy("node", "n", "last").agg(F.count("*").alias("met"))
+    rows = tokens.join(several, "token")
+    # A group is one set's prefix.
+    one = Window.partitionBy("node", "n", "last")
+    rows = (rows.withColumn("k", F.row_number().over(one.orderBy("place")) - 1)
+            .withColumn("met", F.count("*").over(one)))
     share = F.floor((1 - F.col("met") / F.col("length")) * 1000).cast("long")
     own = F.shiftleft(F.greatest(share, F.lit(0)), 44).bitwiseOR(F.shiftrightunsigned(F.xxhash64("node"), 20))
-    return written(rows.join(met, ["node", "n", "last"]).select("token", "node", "n", "last", "met", own.alias("own")),
-                   "meets")
+    return written(rows.select("token", "node", "n", "last", "met", "k", own.alias("own")), "meets")
 
 
 def _fits(n_a: Column, n_b: Column, percent: int) -> Column:
@@ -253,22 +255,43 @@ def _needed(percent: int, shared: int) -> Column:
 def _across(meets: DataFrame, labels: DataFrame, percent: int, shared: int) -> DataFrame:
     """Pairs (a, b) of nodes of different components that share enough prefix tokens.
 
+    A pair comes up at few of its common tokens; then the two lists of tokens are compared.
     Sizes meet in bands, as those of similar sets differ by at most one band and rounding.
     """
     known = (meets.join(labels, "node", "left")
-             .select("token", "node", "n", "last", "met", F.coalesce("label", "node").alias("component")))
+             .select("token", "node", "n", "last", "met", "k", F.coalesce("label", "node").alias("component")))
     mixed = (known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where(F.col("low") < F.col("high")).select("token"))
     rows = written(known.join(mixed, "token"), "mixed").withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int"))
-    names = ("node", "n", "last", "met", "component")
+    names = ("node", "n", "last", "met", "k", "component")
     large = rows.select("token", "band", *[F.col(c).alias(f"{c}_a") for c in names])
     small = rows.select("token", F.explode(F.array("band", F.col("band") + 1, F.col("band") + 2)).alias("band"),
                         *[F.col(c).alias(f"{c}_b") for c in names])
     needed = _needed(percent, shared)
+    # Sets that share ``needed`` of their met tokens share one among the first met - needed + 1.
     fits = ((F.col("component_a") != F.col("component_b")) & _fits(F.col("n_a"), F.col("n_b"), percent)
             & ((F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))))
-            & (F.least("met_a", "met_b") >= needed))
-    pairs = (large.join(small, ["token", "band"]).where(fits)
-             .groupBy("node_a", "node_b", "n_a", "n_b", "last_a", "last_b").count().where(F.col("count") >= needed))
+            & (F.col("k_a") + needed <= F.col("met_a")) & (F.col("k_b") + needed <= F.col("met_b")))
+    sides = ["node_a", "n_a", "last_a", "node_b", "n_b", "last_b"]
+    pairs = large.join(small, ["token", "band"]).where(fits).select(sides).distinct()
+    lists = meets.groupBy("node", "n", "last").agg(F.collect_list("token").alias("tokens"))
+    for side in "ab":
+        pairs = pairs.join(lists.select([F.col(c).alias(f"{c}_{side}") for c in lists.columns]),
+                           [f"node_{side}", f"n_{side}", f"last_{side}"])
+    pairs = pairs.where(F.size(F.array_intersect("tokens_a", "tokens_b")) >= needed)
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, one row of each group: that of the smallest id.
+
+    Rows with a null id, and groups without one, stay; of several rows with the group's id the
+    smallest stays. All columns are kept.
+    """
+    found = components(docs)
+    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
+    known = docs.where(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    one = known.groupBy(F.col("doc_id").alias("_keep")).agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))

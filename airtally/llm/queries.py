@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtally.llm import bpe, jaccard, language, quality, secrets, topk, toxicity
+from airtally.llm import bpe, jaccard, language, mixing, privacy, quality, rules, secrets, topk, toxicity
 from airtally.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.decided(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find(table(spark, sf_dir, "documents")))
@@ -73,6 +78,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op8_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digest(privacy.find(table(spark, sf_dir, "documents")))
+
+
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
