@@ -60,6 +60,8 @@ def fit_in_one_task(rows: DataFrame, fit: Callable[[list[str], np.ndarray], list
         parts = fit([row["text"] for row in found], np.array([row["label"] for row in found], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([parts], pa.list_(pa.binary()))], ["parts"])
     model = rows.coalesce(1).mapInArrow(run, "parts array<binary>").first()
+    if model is None:  # no partition at all, so no task
+        return fit([], np.zeros(0, np.int64))
     return [bytes(part) for part in model["parts"]]
 
 

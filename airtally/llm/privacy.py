@@ -10,7 +10,7 @@ Everything is DataFrame expressions. ``spans`` holds ``email, ip, card, phone``
 ``generalise`` and ``remove``; positions are code points, ends exclusive.
 
 Cases: a null text is empty and has no span; each input row gives one row, repeated rows
-included (equal rows count once as a place of co-occurrence); null ids are kept; without entities there are no terms; an empty
+included (equal rows count once where entity and term meet, but each in n(t)); null ids are kept; without entities there are no terms; an empty
 table gives an empty result. ``find`` reads ``doc_id`` and ``text`` only.
 """
 

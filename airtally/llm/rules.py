@@ -27,8 +27,9 @@ BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
 #: Mean log ratio (in nats per n-gram) below which a document is rejected.
 THRESHOLD = -0.8
-#: Pseudo-count of a bucket in both multinomials, as a share of the mean count.
-SMOOTHING = 0.1
+#: Occurrences added to a bucket's target count and to what the corpus would make it: rare n-grams
+#: stay near a ratio of 1, whatever the corpus' size.
+PRIOR = 2.0
 #: Log ratios are kept as whole thousandths.
 UNIT = 1000.0
 
@@ -114,11 +115,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> l
     out = [0] * BUCKETS
     if not target:
         return out
-    plus_c, plus_t = SMOOTHING * corpus / BUCKETS, SMOOTHING * target / BUCKETS
     for row in counted:
-        ratio = ((row["target"] + plus_t) / (target + plus_t * BUCKETS)) / (
-            (row["corpus"] + plus_c) / (corpus + plus_c * BUCKETS))
-        out[row["bucket"]] = round(UNIT * math.log(ratio))
+        expected = row["corpus"] * target / corpus
+        out[row["bucket"]] = round(UNIT * math.log((row["target"] + PRIOR) / (expected + PRIOR)))
     return out
 
 
