@@ -158,5 +158,8 @@ def decided(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the rules keep, with their columns."""
     packed = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document"), "text")
-    return (_decide(packed, log_ratios(docs, labels), ["document"], threshold)
-            .where("kept").select("document.*"))
+    # The partition number makes the column one that Spark does not move a filter through: a filter
+    # moved below the projections would compute words and hashes again for each element.
+    found = _decide(packed, log_ratios(docs, labels), ["document"], threshold).select(
+        "document", (F.col("kept") & (F.spark_partition_id() >= 0)).alias("stays"))
+    return found.where("stays").select("document.*")
