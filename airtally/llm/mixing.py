@@ -32,10 +32,12 @@ from airtally.session import written
 MOST = 3
 #: Newton steps at most, and the relative error of a source's words at which they end.
 STEPS, EXACT = 40, 1e-6
-#: Slots by hash that a source's size bands are cut into for running sums.
-SLOTS = 64
-#: Rates are added up as whole numbers of this part of a copy, so sums do not depend on order.
-PART = 1 << 32
+#: A source's size bands are cut by hash into at least 2 ** SLOT_BITS slots for running sums, and into
+#: more where the table has over SLOT_ROWS rows for each: no task sorts more than a bounded share.
+SLOT_BITS, SLOT_ROWS = 6, 1 << 17
+#: Rates are added up as whole parts of a copy, so sums do not depend on order. Of parts
+#: this size a long holds those of 10 ** 11 documents.
+PART_BITS = 24
 
 
 def sources(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -109,7 +111,7 @@ def _running(rows: DataFrame, value: str, order: list[Column]) -> DataFrame:
     """``before``: the sum of ``value`` over earlier rows of a source, in the order of ``band``
     (large first), ``slot`` and then ``order``.
 
-    Totals of the bounded groups come first; only within a group are rows sorted.
+    Totals of the groups come first; only within a group are rows sorted.
     """
     group = ["source", "band", "slot"]
     totals = rows.groupBy(*group).agg(F.sum(value).alias("total"))
@@ -137,15 +139,17 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
 
     rated = (sizes.join(found, F.col("source").eqNullSafe(F.col("source_of")), "left").drop("source_of")
              .withColumn("rate", F.when(F.col("size") > 0, _rate()).otherwise(F.lit(0.0))))
-    parts = F.round(F.col("rate") * F.lit(float(PART))).cast("long")
-    spread = F.xxhash64("doc_id")
+    parts = F.round(F.col("rate") * F.lit(float(1 << PART_BITS))).cast("long")
+    # Slots are the first bits of the hash that orders the rows: their number does not change the order.
+    bits = max(SLOT_BITS, (sizes.count() // SLOT_ROWS).bit_length())
     rows = (rated.withColumn("parts", F.coalesce(parts, F.lit(0).cast("long")))
             .withColumn("band", F.floor(F.log2(F.col("size") + F.lit(1.0))).cast("int"))
-            .withColumn("spread", spread).withColumn("slot", F.pmod(F.col("spread"), F.lit(SLOTS)).cast("int")))
-    half = F.lit(PART // 2)
+            .withColumn("spread", F.xxhash64("doc_id"))
+            .withColumn("slot", F.shiftrightunsigned("spread", 64 - bits).cast("int")))
+    half = F.lit(1 << (PART_BITS - 1))
     rounded = _running(rows, "parts", [F.col("spread"), F.col("doc_id"), F.col("size")])
-    copies = (F.floor((F.col("before") + F.col("parts") + half) / F.lit(PART))
-              - F.floor((F.col("before") + half) / F.lit(PART))).cast("long")
+    copies = (F.shiftright(F.col("before") + F.col("parts") + half, PART_BITS)
+              - F.shiftright(F.col("before") + half, PART_BITS))
     rounded = written(rounded.withColumn("copies", F.least(F.greatest(copies, F.lit(0).cast("long")), F.lit(MOST).cast("long")))
                       .select("doc_id", "source", "size", "rate", "band", "spread", "slot", "copies"), "rounded")
     evened = _evened(rounded, per_source)

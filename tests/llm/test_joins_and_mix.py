@@ -173,6 +173,13 @@ def test_mixing(spark):
     assert set(Counter(r.doc_id for r in copies.collect()).values()) <= {1, 2, 3, 6, 9}
 
 
+def test_mix_is_the_same_for_any_number_of_slots(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 9), "ab"[i % 4 == 0]) for i in range(400)], "doc_id long, text string, source string")
+    few = sorted(map(tuple, mixing.mixed(docs).collect()))
+    monkeypatch.setattr(mixing, "SLOT_ROWS", 1)
+    assert sorted(map(tuple, mixing.mixed(docs).collect())) == few
+
+
 def test_rates_are_tilted_by_size(spark):
     """Each rate is exp(dual * size), cut at the limit."""
     docs = spark.createDataFrame([(i, "w " * (1 + i % 7), "ab"[i % 5 == 0]) for i in range(300)], "doc_id long, text string, source string")
