@@ -2,9 +2,11 @@
 
 Watermarks come with the feeds and are never set again here. A session is marked by
 its end, as it is only known then; an ad by its start. Spark drops a row from the
-join state by its marked column alone, so every join states a bound on the marks
-that follows from the intervals and from ``longest``, how long a session and an ad
-may be together. With that no row leaves the state while a partner may still come.
+join state by its marked column alone, so a join states the bounds on the marks that
+follow from the intervals: a session leaves when no ad can reach it any more.
+The other bound needs ``longest``, how long a session and an ad may be together.
+Without it (the default) no pair is lost and ads and positions stay in the state;
+with it they leave, and pairs further apart are not found.
 Of a stream-stream join one mark goes on, as ``mark_ts``.
 """
 
@@ -15,11 +17,10 @@ from pyspark.sql import functions as F
 
 from airtally.operators.intervals import interval_overlap
 
-LONGEST = "24 hours"
 
-
-def _span(longest: str) -> Column:
-    return F.expr(f"INTERVAL {longest}")
+def _reach(early: Column, mark: Column, longest: str | None) -> Column:
+    """Whether the earlier mark is at most ``longest`` before the other; always so without it."""
+    return F.lit(True) if longest is None else early >= mark - F.expr(f"INTERVAL {longest}")
 
 
 def show_views_live(sessions: DataFrame, shows: DataFrame, method: str = "cells") -> DataFrame:
@@ -34,9 +35,11 @@ def show_views_live(sessions: DataFrame, shows: DataFrame, method: str = "cells"
 
 
 def ad_views_live(ads: DataFrame, sessions: DataFrame, how: str = "inner",
-                  longest: str = LONGEST) -> DataFrame:
+                  longest: str | None = None) -> DataFrame:
     """Ad stream x session stream; ``left_outer`` emits an unseen ad, with its own
-    interval, once no session can reach it any more."""
+    interval, once no session can reach it any more. That is known only with ``longest``."""
+    if how != "inner" and longest is None:
+        raise ValueError("unseen ads need longest, the time after which no session can reach an ad")
     seen = ads.select("ad_id", F.col("channel_id").alias("ad_channel"),
                       F.col("start_ts").alias("ad_start"), F.col("end_ts").alias("ad_end"))
     watched = sessions.select("user_id", "device_id", F.col("channel_id").alias("session_channel"),
@@ -45,7 +48,7 @@ def ad_views_live(ads: DataFrame, sessions: DataFrame, how: str = "inner",
     touch = ((F.col("ad_channel") == F.col("session_channel"))
              & (F.col("session_start") <= F.col("ad_end"))
              & (F.col("session_end") >= F.col("ad_start"))
-             & (F.col("ad_start") >= F.col("session_end") - _span(longest)))
+             & _reach(F.col("ad_start"), F.col("session_end"), longest))
     return seen.join(watched, touch, how).select(
         "ad_id", F.col("ad_channel").alias("channel_id"), "user_id", "device_id",
         F.greatest("session_start", "ad_start").alias("start_ts"),
@@ -58,7 +61,7 @@ def with_demographics_live(views: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def with_locations_live(views: DataFrame, locations: DataFrame, how: str = "left_outer",
-                        longest: str = LONGEST) -> DataFrame:
+                        longest: str | None = None) -> DataFrame:
     """View stream x position stream. A view lies inside its session, which ends at
     ``mark_ts``, so the conditions on it change no result."""
     points = locations.select("device_id", "kdts", "lon", "lat", "visibility")
@@ -66,19 +69,19 @@ def with_locations_live(views: DataFrame, locations: DataFrame, how: str = "left
     at, mark = F.col("kdts"), F.col("mark_ts")
     inside = ((F.col("view_device_id") == F.col("device_id"))
               & (F.col("start_ts") <= at) & (F.col("end_ts") >= at)
-              & (mark >= at) & (at >= mark - _span(longest)))
+              & (mark >= at) & _reach(at, mark, longest))
     return named.join(points, inside, how)
 
 
 def show_watch_live(sessions: DataFrame, shows: DataFrame, users: DataFrame, locations: DataFrame,
-                    how: str = "left_outer", longest: str = LONGEST) -> DataFrame:
+                    how: str = "left_outer", longest: str | None = None) -> DataFrame:
     """The whole show pipeline as one streaming query."""
     views = with_demographics_live(show_views_live(sessions, shows), users)
     return with_locations_live(views, locations, how, longest).drop("mark_ts")
 
 
 def ad_view_live(ads: DataFrame, sessions: DataFrame, users: DataFrame, locations: DataFrame,
-                 how: str = "left_outer", longest: str = LONGEST) -> DataFrame:
+                 how: str = "left_outer", longest: str | None = None) -> DataFrame:
     """The whole ad pipeline as one streaming query."""
     views = with_demographics_live(ad_views_live(ads, sessions, longest=longest), users)
     return with_locations_live(views, locations, how, longest).drop("mark_ts")

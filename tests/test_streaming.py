@@ -133,7 +133,7 @@ def test_ad_pipeline_and_unseen_ads(spark, tmp_path):
              .coalesce(1).write.mode("append").parquet(str(tmp_path / name)))
     marked = stream_of(spark, sess, tmp_path / "s").withWatermark("end_ts", feeds.LATE["session"])
     adverts = stream_of(spark, shown, tmp_path / "a").withWatermark("start_ts", feeds.LATE["ad"])
-    got = finish(Live("a", joins.ad_views_live(adverts, marked, "left_outer")), tmp_path / "out")
+    got = finish(Live("a", joins.ad_views_live(adverts, marked, "left_outer", "24 hours")), tmp_path / "out")
     night = got.filter("channel_id < 1000")
     assert night.filter("user_id IS NOT NULL").count() == 3
     assert night.filter("user_id IS NULL").count() == 3
@@ -177,6 +177,28 @@ def test_a_long_view_waits_for_its_points(spark, tmp_path):
         (1, at("2024-01-01 00:10:00")), (2, at("2024-01-01 05:00:00")), (2, at("2024-01-01 08:30:00"))]
 
 
+def test_a_session_of_thirty_hours_meets_its_early_ad(spark, tmp_path):
+    """No bound holds by default; a bound given by the caller does."""
+    days = [("2024-01-01 00:00:00", "2024-01-02 06:00:00"), ("2024-01-03 00:00:00", "2024-01-03 01:00:00")]
+    shown = [("2024-01-01 02:00:00", "2024-01-01 02:01:00"), ("2024-01-02 12:00:00", "2024-01-02 12:01:00")]
+    times = {t: F.col(t).cast("timestamp") for t in ("start_ts", "end_ts")}
+    sess = spark.createDataFrame([(1, 1, 5, *d) for d in days],
+                                 "user_id int, device_id int, channel_id int, start_ts string, end_ts string").withColumns(times)
+    adverts = spark.createDataFrame([(n, 5, *d) for n, d in enumerate(shown)],
+                                    "ad_id int, channel_id int, start_ts string, end_ts string").withColumns(times)
+    drop_files(adverts, tmp_path / "a", [[0], [1]], "ad_id")
+    for n in (0, 1):  # the ads' watermark passes the first ad long before the session ends
+        sess.filter(F.col("start_ts") == days[n][0]).coalesce(1).write.mode("append").parquet(str(tmp_path / "s"))
+        time.sleep(0.05)
+    flow = stream_of(spark, sess, tmp_path / "s").withWatermark("end_ts", "60 seconds")
+    ads_in = stream_of(spark, adverts, tmp_path / "a").withWatermark("start_ts", "60 seconds")
+    for name, longest, found in (("free", None, [(0,)]), ("bound", "24 hours", [])):
+        views = finish(Live(name, joins.ad_views_live(ads_in, flow, longest=longest)), tmp_path / "out")
+        assert rows(views, "ad_id") == found
+    with pytest.raises(ValueError):
+        joins.ad_views_live(ads_in, flow, "left_outer")
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     data = [(1, "2024-01-01 00:00:01"), (2, "2024-01-01 01:00:00"), (3, "2024-01-01 02:00:00"),
             (4, "2024-01-01 00:00:02"), (5, "2024-01-01 03:00:00")]
