@@ -46,38 +46,53 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _pairs(items: Column, n: int, combine: Callable[[list[Column]], Column]) -> Column:
-    """``combine`` of every n neighbours of an array."""
-    last = F.size(items) - (n - 1)
-    return F.when(last < 1, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(1)) - 1),
-                    lambda i: combine([F.get(items, i + k) for k in range(n)])))
+def _neighbours(words: Column, n: int, combine: Callable[..., Column]) -> Column:
+    """``combine`` of every n neighbours of an array; none where it is shorter."""
+    firsts = F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+    return F.transform(firsts, lambda word, i: combine(word, *[F.get(words, i + k) for k in range(1, n)]))
 
 
-def _hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def _bucket(kind: int, *parts: Column) -> Column:
+    # The number of buckets is a power of two.
+    return F.xxhash64(F.lit(kind), *parts).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _at_start(word: Column) -> Column:
+    return _bucket(1, F.substring(word, 1, 3))
+
+
+def _at_end(word: Column) -> Column:
+    return _bucket(2, F.substring(word, -3, 3))
+
+
+def _meeting(word: Column, following: Column) -> Column:
+    return _bucket(3, F.substring(word, -2, 2), F.substring(following, 1, 2))
 
 
 def _buckets(words: Column) -> Column:
     """Buckets of the character n-grams at the words' starts, ends and meeting points."""
-    def bucket(kind: int, *parts: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(kind), *parts), F.lit(BUCKETS))
+    return F.concat(F.transform(words, _at_start), F.transform(words, _at_end), _neighbours(words, 2, _meeting))
 
-    return F.concat(F.transform(words, lambda w: bucket(1, F.substring(w, 1, 3))),
-                    F.transform(words, lambda w: bucket(2, F.substring(w, -3, 3))),
-                    _pairs(words, 2, lambda w: bucket(3, F.substring(w[0], -2, 2), F.substring(w[1], 1, 2)))
-                    ).cast("array<int>")
 
+def _bucket_rows(words: DataFrame) -> DataFrame:
+    """(target, bucket) of each n-gram of the texts' ``words``.
 
-def _repeat_words(hashes: Column) -> Column:
+    The same n-grams as ``_buckets``: one row for each word first, so the rest is compiled code.
+    """
+    following = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0)))
+    each = (words.select("target", "words", following.alias("following"))
+            .select("target", F.explode(F.arrays_zip("words", "following")).alias("at")))
+    word, after = F.col("at.words"), F.col("at.following")
+    found = F.array(_at_start(word), _at_end(word), F.when(after.isNotNull(), _meeting(word, after)))
+    return each.select("target", F.explode(found).alias("bucket")).where(F.col("bucket").isNotNull())
+
+
+def _repeat_words(words: Column) -> Column:
     """Words in three-word windows that occur twice or more.
 
     Windows are sorted with their places, so equal ones lie side by side; then each repeated window
     counts the words up to the next repeated window, three at most.
     """
-    windows = _pairs(hashes, 3, lambda h: F.xxhash64(h[0], h[1], h[2]))
-    placed = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
     def repeated(rows: Column) -> Column:
         return F.filter(F.transform(rows, lambda row, i: F.when(
             (F.get(rows, i - 1)["h"] == row["h"]) | (F.get(rows, i + 1)["h"] == row["h"]), row["i"])),
@@ -88,10 +103,15 @@ def _repeat_words(hashes: Column) -> Column:
             F.coalesce(F.get(places, k + 1) - place, F.lit(3)), F.lit(3)).cast("long"))
         return F.aggregate(ends, F.lit(0).cast("long"), lambda total, n: total + n)
 
-    # Most texts have no repeated window: a set of numbers shows that without sorting.
-    some = _let(windows, lambda w: F.size(w) != F.size(F.array_distinct(w)))
-    return F.when(some, _let(placed, lambda rows: _let(F.array_sort(repeated(rows)), covered))).otherwise(
-        F.lit(0).cast("long"))
+    def count(windows: Column) -> Column:
+        # sort_array compares values directly; array_sort evaluates an expression per comparison.
+        placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        # Most texts have no repeated window: a set of numbers shows that without sorting.
+        return F.when(F.size(windows) != F.size(F.array_distinct(windows)),
+                      _let(placed, lambda rows: _let(F.sort_array(repeated(rows)), covered))).otherwise(
+            F.lit(0).cast("long"))
+
+    return _let(_neighbours(words, 3, lambda *w: F.xxhash64(*w)), count)
 
 
 def target_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
@@ -107,9 +127,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> l
     are combined per task and come down to one row per bucket.
     """
     parts = (docs.select("doc_id", "text").join(F.broadcast(target_ids(labels, rows)), "doc_id", "left")
-             .select("target", words_of(F.col("text")).alias("words"))
-             .select("target", F.explode(_buckets(F.col("words"))).alias("bucket")))
-    counted = (parts.groupBy("bucket").agg(F.count("*").alias("corpus"), F.count("target").alias("target"))
+             .select("target", words_of(F.col("text")).alias("words")))
+    counted = (_bucket_rows(parts).groupBy("bucket").agg(F.count("*").alias("corpus"), F.count("target").alias("target"))
                .collect())
     corpus, target = sum(row["corpus"] for row in counted), sum(row["target"] for row in counted)
     out = [0] * BUCKETS
@@ -122,8 +141,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> l
 
 
 def _counts(ratios: list[int]) -> list[Column]:
-    """Columns from ``text``, ``words`` and ``hashes``."""
-    text, words, hashes = F.coalesce(F.col("text"), F.lit("")), F.col("words"), F.col("hashes")
+    """Columns from ``text`` and ``words``."""
+    text, words = F.coalesce(F.col("text"), F.lit("")), F.col("words")
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     # One constant array of the model's numbers, a bounded part of the plan.
     model = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<int>")
@@ -134,15 +153,14 @@ def _counts(ratios: list[int]) -> list[Column]:
             F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
             _let(lines, lambda l: F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
-            _repeat_words(hashes).alias("n_repeat_words"),
+            _repeat_words(words).alias("n_repeat_words"),
             grams.alias("score")]
 
 
 def _decide(docs: DataFrame, ratios: list[int], keep: list[str], threshold: float) -> DataFrame:
     """The kept columns with the counts and decisions."""
-    # ``hashes`` is read by several columns, so it stays a projection of its own.
+    # ``words`` is read by several columns, so it stays a projection of its own.
     found = (docs.select(*keep, "text", words_of(F.col("text")).alias("words"))
-             .select(*keep, "text", "words", _hashes(F.col("words")).alias("hashes"))
              .select(*keep, *_counts(ratios)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.withColumn("base_failed", failed).withColumn(
