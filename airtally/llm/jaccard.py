@@ -283,13 +283,13 @@ def _across(meets: DataFrame, labels: DataFrame, percent: int, shared: int) -> D
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The documents, one row of each group: that of the smallest id.
 
     Rows with a null id, and groups without one, stay; of several rows with the group's id the
     smallest stays. All columns are kept.
     """
-    found = components(docs)
+    found = components(docs, width, percent)
     keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
     known = docs.where(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
     columns = [F.col(f"`{name}`") for name in docs.columns]

@@ -5,8 +5,8 @@ columns of ``documents``. ``run`` applies them in order; each result is stored a
 folder of ``spark.checkpoint.dir`` and read again as the next one's input.
 
 Cases: null texts, empty tables, repeated rows and extra columns are handled as the
-operators state. ``near_duplicates`` keeps one row of each group; documents without words
-have no duplicates. ``redact_secrets`` keeps ``n_chars`` as it came. ``mix_sources`` repeats
+operators state. ``near_duplicates`` keeps one row of each group of texts linked by a similarity of
+0.8 or more over runs of five words; documents without words have no duplicates. ``redact_secrets`` keeps ``n_chars`` as it came. ``mix_sources`` repeats
 a row for each copy the mix takes.
 """
 
@@ -18,6 +18,9 @@ from airtally.llm import bpe, jaccard, mixing, queries, rules, secrets
 from airtally.llm.common import table
 from airtally.session import written
 
+#: Words of a shingle, and the least similarity in percent, of near copies; op4's are its contract's.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -26,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR_WIDTH, NEAR_PERCENT)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

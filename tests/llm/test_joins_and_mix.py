@@ -63,6 +63,30 @@ def test_components(spark, monkeypatch, frequent):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in found})
 
 
+def test_pipeline_links_five_word_copies_from_080(spark):
+    """Copies with a few words changed or appended, many between 0.80 and 0.85, against brute force."""
+    def grams(text):
+        words = text.lower().split()
+        return {tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))}
+
+    pick, rows = random.Random(8), []
+    for base in range(30):
+        words = [f"w{pick.randint(0, 400)}" for _ in range(100)]
+        rows.append((2 * base, " ".join(words)))
+        for at in pick.sample(range(5, 95), base % 3):
+            words[at] = "changed"
+        rows.append((2 * base + 1, " ".join(words + [f"more{k}" for k in range((0, 8, 19, 23, 26)[base % 5])])))
+    sets, group = [grams(t) for _, t in rows], list(range(len(rows)))
+    similar = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in range(len(rows)) for i in range(j)}
+    for (i, j), share in similar.items():
+        if share >= 0.8:
+            group = [group[i] if g == group[j] else g for g in group]
+    assert sum(0.8 <= share < 0.85 for share in similar.values()) >= 5 and any(0.7 < share < 0.8 for share in similar.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
+
+
 def test_components_of_odd_tables(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (5, "a b c d e"), (None, "x"), (7, "q"), (7, "z z")], "doc_id long, text string")
     assert sorted(map(str, map(tuple, jaccard.components(docs).collect()))) == sorted(map(str, [
