@@ -4,7 +4,7 @@ Emails, addresses, card and phone numbers are found by expression and checked. E
 a protected entity. From the corpus it is estimated how strongly a nearby term reveals it: the
 pointwise mutual information of entity and term, as a share of the entity's own information. Terms
 above the first disclosure threshold are generalised, above the second removed, in
-the documents that hold the entity. A pair must co-occur in several documents to count.
+the documents that hold the entity. Pairs of one document count too; the shares are smoothed.
 
 Everything is DataFrame expressions. ``spans`` holds ``email, ip, card, phone`` in that order, then
 ``generalise`` and ``remove``; positions are code points, ends exclusive.
@@ -27,8 +27,9 @@ from airtally.session import written
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "generalise", "remove")
-#: Documents in which entity and term must meet, at least.
-SUPPORT = 3
+#: Weight, in documents, of the entity's share of all documents where its share among those
+#: with a term is estimated: a term of few documents is held a little nearer to chance.
+PRIOR = 0.5
 #: Shares of an entity's information from which a term is generalised and removed.
 GENERALISE, REMOVE = 0.75, 0.95
 #: Characters before and after an entity in which terms count as near.
@@ -139,22 +140,22 @@ def _mentions(base: DataFrame) -> DataFrame:
 
 
 def disclosures(docs: DataFrame, base: DataFrame, mentions: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that meet often enough.
+    """(entity, term, disclosure) of the pairs that meet.
 
-    ``disclosure`` is log(N n(e,t) / (n(e) n(t))) / log(N / n(e)) over document counts; n(t)
-    counts all documents with the term anywhere.
+    ``disclosure`` is log(p(e|t) / p(e)) / log(1 / p(e)) over document counts, with p(e) = n(e) / N and
+    p(e|t) = (n(e,t) + PRIOR p(e)) / (n(t) + PRIOR); n(t) counts all documents with the term anywhere.
     """
     total = docs.count()
-    pairs = (mentions.select("key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-             .where(F.col("both") >= SUPPORT))
+    pairs = (mentions.select("key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")))
     entities = (base.select("key", F.explode("near.entity").alias("entity")).distinct()
                 .groupBy("entity").agg(F.count("*").alias("of_entity")))
     terms = (docs.select(F.explode(F.array_distinct(F.transform(
         F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}\\p{N}_]+"), lambda w: F.xxhash64(w)))).alias("term"))
         .groupBy("term").agg(F.count("*").alias("of_term")))
     n = F.lit(float(max(total, 1)))
-    information = F.log(n / F.col("of_entity"))
-    shared = F.log(n * F.col("both") / (F.col("of_entity") * F.greatest("of_term", "both")))
+    share = F.col("of_entity") / n
+    information = F.log(1 / share)
+    shared = F.log((F.col("both") + PRIOR * share) / ((F.greatest("of_term", "both") + PRIOR) * share))
     return (pairs.join(entities, "entity").join(terms, "term")
             .where(F.col("of_entity") < n)
             .select("entity", "term", (shared / information).alias("disclosure")))

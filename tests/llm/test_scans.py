@@ -154,6 +154,16 @@ def test_telling_terms(spark):
     assert one.base_sha256 == hashlib.sha256(b"email:4:11").hexdigest()
 
 
+def test_terms_of_entities_of_few_documents(spark):
+    """A rare word beside an address of one or two documents gives it away, too."""
+    rows = [(0, "the note by Quixote to q@x.org"), (1, "the note by Sancho to s@x.org"), (2, "the note by Sancho to s@x.org now")]
+    rows += [(10 + i, f"the note by and to nothing now {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = {r.doc_id: {(s.start, s.end) for s in r.spans if s.kind in ("generalise", "remove")}
+              for r in privacy.find(docs).collect()}
+    assert marked == {0: {(12, 19)}, 1: {(12, 18)}, 2: {(12, 18)}} | {10 + i: set() for i in range(200)}
+
+
 @pytest.mark.parametrize("text", ["", "aa bb", "🙂 é🙂 x"])
 def test_places_are_code_points(spark, text):
     row = spark.createDataFrame([(text,)], "text string").select(privacy.placed(rules.F.col("text"), privacy.TERM)).first()[0]
