@@ -1,7 +1,7 @@
 """Personal data: base patterns, then terms that reveal a protected entity.
 
 Emails, addresses, card and phone numbers are found by expression and checked. Each found value is
-a protected entity. From the corpus it is estimated how strongly a nearby term reveals it: the
+a protected entity. From the corpus it is estimated how strongly a term of the same document reveals it: the
 pointwise mutual information of entity and term, as a share of the entity's own information. Terms
 above the first disclosure threshold are generalised, above the second removed, in
 the documents that hold the entity. Pairs of one document count too; the shares are smoothed.
@@ -10,7 +10,7 @@ Everything is DataFrame expressions. ``spans`` holds ``email, ip, card, phone``
 ``generalise`` and ``remove``; positions are code points, ends exclusive.
 
 Cases: a null text is empty and has no span; each input row gives one row, repeated rows
-included (equal rows count once where entity and term meet, but each in n(t)); null ids are kept; without entities there are no terms; an empty
+included (each counts as a document); null ids are kept; without entities there are no terms; an empty
 table gives an empty result. ``find`` reads ``doc_id`` and ``text`` only.
 """
 
@@ -32,8 +32,8 @@ KINDS = (*BASE, "generalise", "remove")
 PRIOR = 0.5
 #: Shares of an entity's information from which a term is generalised and removed.
 GENERALISE, REMOVE = 0.75, 0.95
-#: Characters before and after an entity in which terms count as near.
-NEAR = 80
+#: A term in this share of the documents, and in so many, is common: known to every task.
+COMMON_SHARE, COMMON_LEAST = 0.001, 32
 #: A term.
 TERM = "[\\p{L}\\p{N}_]++"
 
@@ -106,70 +106,87 @@ def _found(text: Column) -> Column:
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, found, near) of every row: spans, and each span's surroundings as
-    (entity, side's start, side's text, whether its first or last term may be cut)."""
+    """(doc_id, key, found, entities, held) of every row: spans, hashes of the distinct values found, and
+    the text where there are any."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", "text").alias("key")).select(
         "doc_id", "text", "key", _found(F.col("text")).alias("found"))
+    entity = F.transform("found", lambda s: F.xxhash64(F.lower(F.substring(
+        F.col("text"), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))), s["kind"]))
+    return rows.select("doc_id", "key", "found", F.array_distinct(entity).alias("entities"),
+                       F.when(F.size("found") > 0, F.col("text")).alias("held"))
 
-    def sides(span: Column) -> Column:
-        entity = F.lower(F.substring(F.col("text"), span["start"].cast("int") + 1, (span["end"] - span["start"]).cast("int")))
-        left = F.greatest(span["start"] - NEAR, F.lit(0).cast("long"))
-        return F.array(
-            F.struct(F.xxhash64(entity, span["kind"]).alias("entity"), left.alias("at"), (left > 0).alias("cut_first"),
-                     F.lit(False).alias("cut_last"),
-                     F.substring(F.col("text"), left.cast("int") + 1, (span["start"] - left).cast("int")).alias("side")),
-            F.struct(F.xxhash64(entity, span["kind"]).alias("entity"), span["end"].alias("at"), F.lit(False).alias("cut_first"),
-                     (F.length("text") > span["end"] + NEAR).alias("cut_last"),
-                     F.substring(F.col("text"), span["end"].cast("int") + 1, F.lit(NEAR)).alias("side")))
 
-    return rows.select("doc_id", "key", "found", F.flatten(F.transform("found", sides)).alias("near"))
+def _entities(base: DataFrame, n: Column) -> DataFrame:
+    """(key, rows, group, of_entity, most): the groups of entities of each text that has any.
+
+    Entities of the same documents meet the same terms equally often and are one group. ``rows``
+    counts the equal rows of the text. A term of more than ``most`` documents cannot tell on the group:
+    its disclosure is under GENERALISE even where it is in all of the group's documents.
+    """
+    texts = base.where(F.size("entities") > 0).groupBy("key").agg(F.count("*").alias("rows"), F.first("entities").alias("entities"))
+    held = written(texts.select("key", "rows", F.explode("entities").alias("entity")), "entities")
+    of_entity = held.groupBy("entity").agg(F.sum("rows").alias("of_entity"), F.bit_xor("key").alias("one"),
+                                           F.bit_xor(F.xxhash64("key")).alias("two"))
+    share = F.col("of_entity") / n
+    most = (F.col("of_entity") + PRIOR * share) / F.pow(share, F.lit(1 - GENERALISE)) - PRIOR
+    # The one document more is for rounding.
+    known = of_entity.where(F.col("of_entity") < n).select(
+        "entity", "of_entity", F.xxhash64("of_entity", "one", "two").alias("group"), (F.ceil(most) + 1).alias("most"))
+    return held.join(known, "entity").select("key", "rows", "group", "of_entity", "most").distinct()
 
 
-def _mentions(base: DataFrame) -> DataFrame:
-    """(key, entity, term, start, end): the terms near each entity, outside all base spans."""
-    side = base.select("key", "found", F.explode("near").alias("near")).select("key", "found", "near.*")
-    term = side.select("key", "found", "entity", "at", "cut_first", "cut_last", F.length("side").alias("width"),
-                       F.explode(placed(F.col("side"), TERM)).alias("m"))
-    whole = ~((F.col("cut_first") & (F.col("m.start") == 0)) | (F.col("cut_last") & (F.col("m.end") == F.col("width"))))
-    start, end = F.col("at") + F.col("m.start"), F.col("at") + F.col("m.end")
-    free = ~F.exists("found", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return (term.where(whole).select("key", "found", "entity", F.xxhash64(F.lower("m.value")).alias("term"),
-                                     start.alias("start"), end.alias("end"))
-            .where(free).drop("found"))
+def _terms(docs: DataFrame) -> DataFrame:
+    """(term, of_term): the documents with each term anywhere."""
+    found = F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w)))
+    return docs.select(F.explode(F.array_distinct(found)).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
 
 
-def disclosures(docs: DataFrame, base: DataFrame, mentions: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that meet.
+def _mentions(base: DataFrame, groups: DataFrame, terms: DataFrame, n: Column) -> DataFrame:
+    """(key, term, of_term, start, end, free): where terms that can tell on an entity of their text are.
+
+    ``free``: outside all base spans. Terms of many documents are known to every task (texts hold
+    few of them distinct), so that most words are left out before the shuffle.
+    """
+    reach = groups.groupBy("key").agg(F.max("most").alias("most"))
+    places = (base.where(F.col("held").isNotNull()).select("key", "found", "held").join(reach, "key")
+              .select("key", "found", "most", F.explode(placed(F.col("held"), TERM)).alias("m")))
+    free = ~F.exists("found", lambda s: (s["start"] < F.col("m.end")) & (s["end"] > F.col("m.start")))
+    common = terms.where(F.col("of_term") >= F.greatest(n * COMMON_SHARE, F.lit(COMMON_LEAST))).select(
+        F.col("term").alias("common"), F.col("of_term").alias("of_common"))
+    places = (places.withColumn("term", F.xxhash64(F.lower("m.value"))).join(F.broadcast(common), F.col("term") == F.col("common"), "left")
+              .where(F.col("of_common").isNull() | (F.col("of_common") <= F.col("most")))
+              .select("key", "most", "term", F.col("m.start").alias("start"), F.col("m.end").alias("end"), free.alias("free")))
+    return places.join(terms, "term").where(F.col("of_term") <= F.col("most")).select(
+        "key", "term", "of_term", "start", "end", "free")
+
+
+def disclosures(mentions: DataFrame, groups: DataFrame, n: Column) -> DataFrame:
+    """(key, term, disclosure): the strongest disclosure of each term on an entity of its text.
 
     ``disclosure`` is log(p(e|t) / p(e)) / log(1 / p(e)) over document counts, with p(e) = n(e) / N and
-    p(e|t) = (n(e,t) + PRIOR p(e)) / (n(t) + PRIOR); n(t) counts all documents with the term anywhere.
+    p(e|t) = (n(e,t) + PRIOR p(e)) / (n(t) + PRIOR). Entity and term meet in a document that holds
+    both, however far apart; n(t) counts all documents with the term anywhere.
     """
-    total = docs.count()
-    pairs = (mentions.select("key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")))
-    entities = (base.select("key", F.explode("near.entity").alias("entity")).distinct()
-                .groupBy("entity").agg(F.count("*").alias("of_entity")))
-    terms = (docs.select(F.explode(F.array_distinct(F.transform(
-        F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}\\p{N}_]+"), lambda w: F.xxhash64(w)))).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("of_term")))
-    n = F.lit(float(max(total, 1)))
+    meets = written(mentions.select("key", "term", "of_term").distinct().join(groups, "key")
+                    .where(F.col("of_term") <= F.col("most")).drop("most"), "meets")
+    both = written(meets.groupBy("group", "term").agg(F.sum("rows").alias("both")), "both")
     share = F.col("of_entity") / n
-    information = F.log(1 / share)
-    shared = F.log((F.col("both") + PRIOR * share) / ((F.greatest("of_term", "both") + PRIOR) * share))
-    return (pairs.join(entities, "entity").join(terms, "term")
-            .where(F.col("of_entity") < n)
-            .select("entity", "term", (shared / information).alias("disclosure")))
+    shared = F.log((F.col("both") + PRIOR * share) / ((F.col("of_term") + PRIOR) * share))
+    return (meets.join(both, ["group", "term"]).select("key", "term", (shared / F.log(1 / share)).alias("disclosure"))
+            .where(F.col("disclosure") >= GENERALISE).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure")))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, spans): an array of (kind, start, end) for every row."""
     base = written(_base(docs), "base")
-    mentions = written(_mentions(base), "mentions")
-    telling = disclosures(docs, base, mentions).where(F.col("disclosure") >= GENERALISE)
+    n = F.lit(float(max(base.count(), 1)))
+    groups = written(_entities(base, n), "groups")
+    mentions = written(_mentions(base, groups, written(_terms(docs), "terms"), n), "mentions")
     kind = F.when(F.col("disclosure") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
-    # A term near several entities is treated by the strongest of them.
-    extra = (mentions.join(telling, ["entity", "term"]).groupBy("key", "start", "end")
-             .agg(F.max("disclosure").alias("disclosure"))
+    # Every place of a telling term is treated, by the strongest of the text's entities.
+    extra = (mentions.where("free").select("key", "term", "start", "end").distinct()
+             .join(disclosures(mentions, groups, n), ["key", "term"])
              .select("key", F.struct("start", F.when(F.col("disclosure") >= REMOVE, 5).otherwise(4).alias("place"),
                                      kind.alias("kind"), "end").alias("span"))
              .groupBy("key").agg(F.collect_list("span").alias("more")))

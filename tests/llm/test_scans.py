@@ -1,6 +1,7 @@
 """Rules, secrets and personal data against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -164,6 +165,45 @@ def test_terms_of_entities_of_few_documents(spark):
     assert marked == {0: {(12, 19)}, 1: {(12, 18)}, 2: {(12, 18)}} | {10 + i: set() for i in range(200)}
 
 
+def test_telling_terms_far_from_their_entity(spark):
+    """Counted and marked wherever they stand in a text with the entity, against plain counts."""
+    pick = random.Random(5)
+    common = [f"c{k}" for k in range(12)]
+    texts = [" ".join(pick.choice(common) for _ in range(60)) for _ in range(150)]
+    for i in range(12):
+        middle = " ".join(pick.choice(common) for _ in range(60))
+        texts.append(f"Quixote{i // 3} {middle} q{i // 3}@x.org {middle} İda{i % 2} quixote{i // 3} rare{i}")
+    texts += ["mail q1@x.org", "quixote2 alone", texts[-1], None]
+    rows = [*enumerate(texts), (0, texts[0]), (150, texts[150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = [[(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"\w+", t or "")] for _, t in rows]
+    base = [_plain_private(t or "") for _, t in rows]
+    values = [{(t[s[0]:s[3]].lower(), s[2]) for s in b} for (_, t), b in zip(rows, base)]
+    n, n_e, n_t, n_et = len(rows), Counter(), Counter(), Counter()
+    for places, held in zip(terms, values):
+        words = {w for _, _, w in places}
+        n_e.update(held)
+        n_t.update(words)
+        n_et.update((e, w) for e in held for w in words)
+
+    def told(e, w):
+        p = n_e[e] / n
+        return math.log((n_et[e, w] + privacy.PRIOR * p) / (n_t[w] + privacy.PRIOR) / p) / math.log(1 / p)
+
+    wanted = []
+    for (i, _), places, spans, held in zip(rows, terms, base, values):
+        out = [(s, e, kind) for s, _, kind, e in spans]
+        for s, e, w in places:
+            most = max((told(x, w) for x in held), default=0)
+            if most >= privacy.GENERALISE and not any(a < e and b > s for a, b, _ in out if _ in privacy.BASE):
+                out.append((s, e, "remove" if most >= privacy.REMOVE else "generalise"))
+        wanted.append((i, sorted(out)))
+    found = [(r.doc_id, sorted((s.start, s.end, s.kind) for s in r.spans)) for r in privacy.find(docs).collect()]
+    assert sorted(found) == sorted(wanted)
+    first = dict(wanted)[150]
+    assert first[0][:2] == (0, 8) and sum(k not in privacy.BASE for _, _, k in first) >= 3
+
+
 @pytest.mark.parametrize("text", ["", "aa bb", "🙂 é🙂 x"])
 def test_places_are_code_points(spark, text):
     row = spark.createDataFrame([(text,)], "text string").select(privacy.placed(rules.F.col("text"), privacy.TERM)).first()[0]
