@@ -38,12 +38,38 @@ from airtally.session import written
 
 #: Ids of a sequence, and sequences of a record batch.
 LENGTH, SEQUENCES = 1024, 256
-#: Chunks a worker remembers, and the longest that it does.
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Chunks, and characters of chunks, that a worker remembers.
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 1 << 26
 #: Characters handed to the library at once where many chunks are new.
 JOINED = 1 << 18
 
 
+class _Numbers(dict):
+    """Numbers strings as they first come; ``new`` lists them."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: np.dtype | type) -> None:
+        self.values, self.n = np.zeros(1 << 16, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.values):
+            self.values = np.concatenate([self.values[:self.n], np.zeros(self.n + len(more), self.values.dtype)])
+        self.values[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
 class LibraryEncoder:
     """Whole texts to ids by the tokenizers library, each different chunk once."""
 
@@ -63,67 +89,73 @@ class LibraryEncoder:
         pieces = bpe.vocabulary(path).pieces if self.by_chunk else []
         self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memory: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}
+        self._forget()
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+    def _forget(self) -> None:
+        """Nothing remembered: a chunk's number gives the place and length of its ids in ``ids``."""
+        self.numbers, self.chars = _Numbers(), 0
+        self.ids, self.starts, self.sizes = _Grown(self.kind), _Grown(np.int64), _Grown(np.int64)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text."""
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         if not self.by_chunk:
             return list(map(self.whole, texts))
-        if len(self.memory) > REMEMBERED:
-            self.memory.clear()
-        if len(self.firsts) > REMEMBERED:
-            self.firsts.clear()
-        cuts = [chunks.cut(text) for text in texts]
-        new: set[str] = set()
-        for pieces in cuts:
-            if pieces:
-                new.update(pieces[1:])
-        self._learn(new.difference(self.memory))
-        known = self.memory.__getitem__
-        out = [self.whole(text) if pieces is None else self._first(pieces[0]) + b"".join(map(known, pieces[1:]))
-               for text, pieces in zip(texts, cuts)]
-        for piece in new:
-            if len(piece) > LONGEST:
-                del self.memory[piece]
-        return out
-
-    def _first(self, piece: str) -> bytes:
-        found = self.firsts.get(piece)
-        if found is None:
-            found = self.whole(piece)
-            if len(piece) <= LONGEST:
-                self.firsts[piece] = found
-        return found
-
-    def _learn(self, new: set[str]) -> None:
+        if len(self.numbers) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self._forget()
+        found: list[np.ndarray] = []
+        for text in texts:
+            pieces = chunks.cut(text)
+            if pieces is None:
+                pieces = []
+            else:
+                # No other chunk holds a space: this one has none before it in the text.
+                pieces[0] = " " + pieces[0]
+            found.append(np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces)))
+        self._learn()
+        numbers = np.concatenate(found or [np.zeros(0, np.int64)])
+        sizes = self.sizes.values[numbers]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids.values[np.repeat(self.starts.values[numbers] - ends + sizes, sizes) + np.arange(total)]
+        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
+        return [ids[low:high] if len(part) else self.whole(text)
+                for text, part, low, high in zip(texts, found, ends, ends[1:])]
+
+    def _learn(self) -> None:
+        """The ids of the new chunks, in the order of their numbers."""
+        new, self.numbers.new = self.numbers.new, []
+        self.chars += sum(map(len, new))
         part, size = [], 0
-        for piece in new:
-            if len(piece) > LONGEST or not chunks.joins(piece):
-                self.memory[piece] = self.whole(" " + piece)
-                continue
-            part.append(piece)
-            size += len(piece) + 1
-            if size > JOINED:
+        for chunk in new:
+            joined = chunk[:1] != " " and chunks.joins(chunk)
+            if part and (not joined or size > JOINED):
                 self._learn_joined(part)
                 part, size = [], 0
+            if joined:
+                part.append(chunk)
+                size += len(chunk) + 1
+            else:
+                self._add(self.whole(chunk[1:] if chunk[:1] == " " else " " + chunk), np.zeros(1, np.int64))
         if part:
             self._learn_joined(part)
 
+    def _add(self, ids: np.ndarray, starts: np.ndarray) -> None:
+        self.starts.add(starts + self.ids.n)
+        self.sizes.add(np.diff(starts, append=len(ids)))
+        self.ids.add(ids)
+
     def _learn_joined(self, part: list[str]) -> None:
         """Encode chunks as one text: the bytes of its ids show where each chunk ends."""
-        packed = self.whole(" " + " ".join(part))
-        ends = np.cumsum(self.lengths[np.frombuffer(packed, self.kind)])
-        wanted = np.cumsum([len(piece.encode()) + 1 for piece in part])
+        ids = self.whole(" " + " ".join(part))
+        ends = np.cumsum(self.lengths[ids])
+        wanted = np.cumsum([len(chunk.encode()) + 1 for chunk in part])
         at = np.searchsorted(ends, wanted)
         if not np.array_equal(ends[at], wanted):
             raise ValueError("an id crosses the border of two chunks")
-        stops = ((at + 1) * self.kind.itemsize).tolist()
-        for piece, low, high in zip(part, [0, *stops], stops):
-            self.memory[piece] = packed[low:high]
+        self._add(ids, np.concatenate([[0], at[:-1] + 1]))
 
 
 @cache
@@ -248,13 +280,12 @@ def written_files(docs: DataFrame, folder: str, path: str, end_id: int = 0, leng
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out = _encoder(path), None
-        end = np.array([end_id], encoder.kind).tobytes()
+        end = np.array([end_id], encoder.kind)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 out = out or _Writer(folder, encoder.kind, batch.schema.field("doc_id").type, length, sequences)
-                out.add(part.column("doc_id"), [np.frombuffer(ids + end, encoder.kind)
-                                                for ids in encoder.encode(common.texts_of(part))])
+                out.add(part.column("doc_id"), [np.concatenate([ids, end]) for ids in encoder.encode(common.texts_of(part))])
         if out:
             out.close()
             yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "data": out.data,
