@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtally.llm import bpe, divergence, jaccard, language, mixing, privacy, quality, rules, secrets, token_files, topk, toxicity
+from airtally.llm import bpe, divergence, jaccard, language, mixing, privacy, quality, rules, search, secrets, token_files, topk, toxicity
 from airtally.llm.common import table
 from airtally.session import new_folder
 
@@ -94,6 +94,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_search"] = r"""
+WITH words AS (
+    SELECT doc, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS doc, doc_id, text FROM documents) AS d
+), postings AS (
+    SELECT doc, doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+    SELECT doc, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc
+), totals AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * t.docs + 2 AS DOUBLE) / CAST(2 * p.df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term) AS p, totals t
+), items AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT i.item_id, p.doc, p.doc_id,
+           CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (100 - 50 + (50 * l.n * t.docs) // t.terms)))) AS BIGINT) AS score
+    FROM items i JOIN postings p USING (term) JOIN weights w USING (term) JOIN lengths l USING (doc), totals t
+    GROUP BY i.item_id, p.doc, p.doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) AS ranked
+WHERE rank <= 50
+"""
+
+
 @query
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))

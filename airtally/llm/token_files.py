@@ -41,7 +41,7 @@ LENGTH, SEQUENCES = 1024, 256
 #: Chunks, and characters of chunks, that a worker remembers.
 REMEMBERED, REMEMBERED_CHARS = 1_000_000, 1 << 26
 #: Characters handed to the library at once where many chunks are new.
-JOINED = 1 << 18
+JOINED = 1 << 14
 
 
 class _Numbers(dict):
@@ -97,7 +97,7 @@ class LibraryEncoder:
         self.ids, self.starts, self.sizes = _Grown(self.kind), _Grown(np.int64), _Grown(np.int64)
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
