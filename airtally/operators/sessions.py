@@ -19,17 +19,22 @@ LIST_USERS = 100_000
 
 
 def device_sessions(actions: DataFrame, tiebreak: list[str] | None = None,
-                    expire_open: bool = False, rows: int = HOT_ROWS) -> DataFrame:
+                    expire_open: bool = False, rows: int = HOT_ROWS, idle: str | None = None) -> DataFrame:
     """One row per finished watching session of a (user, device).
 
     A start or switch opens a session on its channel and the next action ends it
     if that action is a stop or a switch; another start discards the open one.
-    With ``expire_open`` a session nobody ended is kept with end = epoch 0.
+    With ``expire_open`` a session nobody ended is kept with end = epoch 0. With ``idle``
+    (an interval such as ``90 seconds``) an action that comes later than that ends nothing:
+    the session before it is one that nobody ended.
     """
     known = actions.filter(F.col("action").isin(START, STOP, SWITCH)
                            & F.col("action_ts").isNotNull())
     paired = lead_rows(known, ["user_id", "device_id"], ["action_ts", *(tiebreak or [])],
                        ["action", "action_ts"], rows=rows)
+    if idle is not None:
+        late = F.col("next_action_ts") > F.col("action_ts") + F.expr(f"INTERVAL {idle}")
+        paired = paired.withColumns({c: F.when(~late, F.col(c)) for c in ("next_action", "next_action_ts")})
     ended = F.col("next_action").isin(STOP, SWITCH)
     keep = ended | F.col("next_action").isNull() if expire_open else ended
     kind = actions.schema["action_ts"].dataType

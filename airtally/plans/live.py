@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtally.operators import dashboards, enrich
@@ -17,10 +17,10 @@ from airtally.plans import panels, viewing  # noqa: F401  the batch twins come f
 from airtally.plans.records import EVENT
 from airtally.plans.registry import query
 from airtally.plans.views import Views
-from airtally.session import new_folder
+from airtally.session import new_folder, written
 from airtally.sources.feeds import LATE, ads_from_topic
 from airtally.sources.topics import topic_decode
-from airtally.streaming import joins, state
+from airtally.streaming import joins, parts, state
 from airtally.streaming.runner import Live, kept, table_sink
 
 
@@ -151,15 +151,115 @@ def ad_view_overlap_live(v: Views):
     return finish(joins.ad_views_live(ads, sessions).drop("mark_ts"), "ads")
 
 
-@query("show_watch_live", ["show_people", "locations"], """
-SELECT v.program_id, v.program, v.channel_id, v.channel, v.user_id, v.name, v.age, v.gender,
-       v.device_id AS view_device_id, v.start_ts, v.end_ts,
-       l.device_id, l.lon, l.lat, l.visibility, l.kdts
-FROM show_people v JOIN locations l
-  ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
+# Micro-batches of the event tables for the queries below, and the days that one holds.
+BATCHES, BATCH_DAYS = 6, 6
+
+
+def in_batches(df: DataFrame, name: str, at: str, closing: dict[str, Column] | None = None,
+               batches: int = BATCHES) -> DataFrame:
+    """A bounded DataFrame as a stream of ``batches`` files in the order of ``at``.
+
+    With ``closing`` (columns of a last row that meets nothing, the others null) one more batch
+    comes, whose time lets everything before it leave the state.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    rows = written(df, f"{name}-all")
+    number = F.unix_micros(at).cast("double")
+    low, high = rows.agg(F.min(number), F.max(number)).first()
+    width = ((high or 0.0) - (low or 0.0)) / batches + 1.0
+    part = F.floor((number - F.lit(low or 0.0)) / F.lit(width))
+    for k in range(batches):
+        here = part == k
+        rows.where(here | number.isNull() if k == 0 else here).coalesce(1).write.mode("append").parquet(path)
+    if closing:
+        one = spark.range(1).select(*[closing[f.name].cast(f.dataType).alias(f.name) if f.name in closing
+                                      else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+        one.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _end(days: int) -> Column:
+    """A time well after the test events."""
+    return F.to_timestamp(F.lit("2024-02-01 00:00:00")) + F.expr(f"INTERVAL {days} DAYS")
+
+
+def _nobody(key: int) -> dict[str, Column]:
+    """Keys that meet nothing. Nulls would not do, here or in times: Spark filters them out below the watermark."""
+    return {name: F.lit(key) for name in ("user_id", "device_id", "channel_id")}
+
+
+@query("device_sessions_idle_live", same_as="device_sessions_idle")
+def device_sessions_idle_live(v: Views):
+    """Sessions with an idle time-out on event time over several micro-batches; early actions that
+    come again in the last one are late and change nothing."""
+    actions = v.actions()
+    again = actions.where("action_ts < TIMESTAMP '2024-01-02 00:00:00'")
+    order = actions.withColumn("sent", F.col("action_ts")).unionByName(again.withColumn("sent", _end(1)))
+    flow = in_batches(order, "action-stream", "sent", {"action_ts": _end(30), "sent": _end(30)})
+    idle = state.device_sessions_stream(flow.withWatermark("action_ts", "1 minute"), 6 * 3_600_000, "append",
+                                        "event_id", state.EVENT)
+    return finish(idle, "idle")
+
+
+def session_parts(v: Views) -> DataFrame:
+    """The sessions of the test events as parts, with the micro-batch each came in."""
+    flow = in_batches(v.actions(), "action-stream", "action_ts")
+    found = state.session_parts_stream(flow.withWatermark("action_ts", "1 minute"), parts.PART, "event_id")
+    folder = new_folder(v.spark, "live")
+    live = Live("parts", found)
+    table_sink(live, folder).awaitTermination()
+    return v.spark.read.schema(found.schema.add("batch", "long")).parquet(f"{folder}/parts/rows")
+
+
+def parts_stream(sent: DataFrame) -> DataFrame:
+    """The parts as they came, batch by batch, and their end."""
+    late = f"{BATCH_DAYS} days"
+    flow = in_batches(sent.withColumn("came", F.timestamp_micros(F.col("batch") * 1_000_000)), "part-stream", "came",
+                      {"part_start": _end(30), "part_end": _end(30), "came": _end(30), **_nobody(-2)}, batches=BATCHES + 2)
+    return parts.in_cell(flow.drop("came", "batch"), "part_start", late)
+
+
+def point_stream(v: Views) -> DataFrame:
+    flow = in_batches(v.locations(), "point-stream", "kdts", {"kdts": _end(30), **_nobody(-3)})
+    return parts.in_cell(flow, "kdts", LATE["location"])
+
+
+def ad_stream(v: Views) -> DataFrame:
+    """Ads cut into cells, in micro-batches."""
+    from airtally.plans.viewing import ads
+
+    flow = in_batches(ads(v), "ad-stream", "start_ts", {"start_ts": _end(30), "end_ts": _end(30), **_nobody(-1)})
+    return parts.in_parts(flow, "start_ts", "end_ts", LATE["ad"])
+
+
+@query("session_parts_live", same_as="device_sessions")
+def session_parts_live(v: Views):
+    """Sessions sent on a part at a time while they are open, put together again."""
+    return parts.whole_sessions(session_parts(v))
+
+
+@query("show_watch_live", same_as="show_watch_full")
 def show_watch_live(v: Views):
-    """The flagship as one streaming query, matched rows; unmatched ones would wait
-    for a later watermark that a bounded stream never sends."""
-    sessions = from_table(v.sessions(), "session-stream").withWatermark("end_ts", LATE["view"])
-    places = Streams(v).locations().withWatermark("kdts", LATE["location"])
-    return finish(joins.show_watch_live(sessions, v.shows_table(), v.users(), places, "inner"), "watch")
+    """The flagship as streaming queries over several micro-batches, with views nobody was located in."""
+    sent = session_parts(v)
+    rows = finish(parts.show_watch_parts(parts_stream(sent), v.shows_table(), v.users(), point_stream(v)), "watch")
+    return parts.whole_views(rows, parts.ended(sent), parts.SHOW)
+
+
+@query("ad_view_live", same_as="ad_view_full")
+def ad_view_live(v: Views):
+    """The ad pipeline as streaming queries over several micro-batches."""
+    sent = session_parts(v)
+    rows = finish(parts.ad_watch_parts(ad_stream(v), parts_stream(sent), v.users(), point_stream(v)), "ads-watched")
+    return parts.whole_views(rows, parts.ended(sent), parts.AD)
+
+
+@query("ad_unseen_live", ["ads", "sessions"], """
+SELECT a.ad_id, a.channel_id, a.start_ts, a.end_ts FROM ads a
+WHERE NOT EXISTS (SELECT 1 FROM sessions s WHERE s.channel_id = a.channel_id
+                  AND s.start_ts <= a.end_ts AND s.end_ts >= a.start_ts)""")
+def ad_unseen_live(v: Views):
+    """Ads no session reached, given out once their cells have passed."""
+    sent = session_parts(v)
+    rows = finish(parts.ad_view_parts(ad_stream(v), parts_stream(sent), "left_outer"), "ads-unseen")
+    return parts.unseen_ads(rows, parts.ended(sent))

@@ -21,6 +21,10 @@ def device_sessions(v: Views):
     return v.sessions()
 
 
+# The test events of a user lie hours apart.
+IDLE = "6 HOURS"
+
+
 @query("device_sessions_open", ["actions"], """
 SELECT user_id, device_id, channel_id, action_ts AS start_ts,
        coalesce(next_ts, TIMESTAMP '1970-01-01 00:00:00') AS end_ts
@@ -33,6 +37,19 @@ def device_sessions_open(v: Views):
     return sessions.device_sessions(v.actions(), tiebreak=["event_id"], expire_open=True)
 
 
+@query("device_sessions_idle", ["actions"], f"""
+SELECT user_id, device_id, channel_id, action_ts AS start_ts,
+       CASE WHEN next_action IS NULL OR next_ts > action_ts + INTERVAL {IDLE} THEN TIMESTAMP '1970-01-01 00:00:00'
+            ELSE next_ts END AS end_ts
+FROM (SELECT *, lead(action) OVER w AS next_action, lead(action_ts) OVER w AS next_ts
+      FROM actions WHERE action IN (1, 2, 3)
+      WINDOW w AS (PARTITION BY user_id, device_id ORDER BY action_ts, event_id))
+WHERE action IN (1, 3) AND (next_action IS NULL OR next_ts > action_ts + INTERVAL {IDLE} OR next_action IN (2, 3))""")
+def device_sessions_idle(v: Views):
+    """Sessions nobody ends in time count as open, as the time-out on event time has it."""
+    return sessions.device_sessions(v.actions(), tiebreak=["event_id"], expire_open=True, idle=IDLE)
+
+
 @query("user_activity", ["numbered"], """
 SELECT user_id, 0 AS part,
        string_agg(CAST(type_int AS VARCHAR), ',' ORDER BY event_ts, event_id) AS type_ints,

@@ -70,10 +70,13 @@ class SessionState(_Idle):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         opened = self.open.get() if self.open.exists() else None
-        known = [(r.at, r.tie, r.action, r.channel_id) for r in rows if r.at is not None]
-        newest = None
+        known = [(r.at, r.tie, r.action, r.channel_id) for r in rows
+                 if r.at is not None and r.action in (START, STOP, SWITCH)]
         for at, _, action, channel in sorted(known):
-            newest = at
+            # On event time a pause ends the session even where no timer ran between two rows of a batch.
+            if self.clock == EVENT and opened is not None and at - opened[1] > self.idle_ms * 1000:
+                yield _session(key, opened, 0)
+                opened = None
             if action in (STOP, SWITCH) and opened is not None:
                 yield _session(key, opened, at)
                 opened = None
@@ -84,7 +87,7 @@ class SessionState(_Idle):
             self._cancel()
         else:
             self.open.update(tuple(opened))
-            self._renew(timerValues, newest if newest is not None else opened[1])
+            self._renew(timerValues, opened[1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.timer.clear()
@@ -94,6 +97,68 @@ class SessionState(_Idle):
             yield _session(key, opened, 0)
 
 
+class PartState(StatefulProcessor):
+    """Open session of a (user, device), sent on whenever event time passes the end of a cell."""
+
+    def __init__(self, seconds: int):
+        self.width = seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState(
+            "open", T.StructType().add("channel_id", T.LongType()).add("start", T.LongType()).add("since", T.LongType()))
+        self.timer = handle.getValueState("timer", T.StructType().add("at", T.LongType()))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        opened = self.open.get() if self.open.exists() else None
+        known = [(r.at, r.tie, r.action, r.channel_id) for r in rows if r.at is not None]
+        for at, _, action, channel in sorted(known):
+            if action in (STOP, SWITCH) and opened is not None:
+                since = yield from self._passed(key, opened, at)
+                yield self._part(key, opened, since, at, True)
+                opened = None
+            if action in (START, SWITCH):
+                opened = (channel, at, at)
+        self._keep(opened)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.timer.clear()
+        if self.open.exists():
+            opened = self.open.get()
+            since = yield from self._passed(key, opened, timerValues.getCurrentWatermarkInMs() * 1000)
+            self._keep((*opened[:2], since))
+
+    def close(self) -> None:
+        pass
+
+    def _border(self, at: int) -> int:
+        return (at // self.width + 1) * self.width
+
+    def _passed(self, key, opened, until: int):
+        """Parts up to the last border at or before ``until``; returns where the next one begins."""
+        since = opened[2]
+        while self._border(since) <= until:
+            yield self._part(key, opened, since, self._border(since), False)
+            since = self._border(since)
+        return since
+
+    def _part(self, key, opened, since: int, until: int, closed: bool) -> Row:
+        return Row(user_id=key[0], device_id=key[1], channel_id=opened[0], start=opened[1], since=since,
+                   until=until, closed=closed)
+
+    def _keep(self, opened) -> None:
+        if self.timer.exists():
+            self.handle.deleteTimer(self.timer.get()[0])
+            self.timer.clear()
+        if opened is None:
+            self.open.clear()
+            return
+        self.open.update(tuple(opened))
+        at = self._border(opened[2]) // 1000
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
+
+
 class ActivityState(_Idle):
     """All type numbers of a user so far, with the latest opening and closing time."""
 
@@ -191,6 +256,23 @@ def device_sessions_stream(actions: DataFrame, idle_ms: int = SESSION_IDLE, mode
                         .alias("channel_id"), _time("start", "start_ts"), _time("end", "end_ts"))
 
 
+def session_parts_stream(actions: DataFrame, seconds: int, tiebreak: str | None = None) -> DataFrame:
+    """Sessions of an action stream with a watermark on ``action_ts``, a part per cell of ``seconds``.
+
+    A part comes as soon as event time passes its cell, the last one, ``closed``, with the
+    action that ends the session. What was sent of a session that another start discards
+    is never closed.
+    """
+    keys = {k: actions.schema[k].dataType for k in ("user_id", "device_id")}
+    slim = actions.select(*keys, F.col("channel_id").cast("bigint").alias("channel_id"), "action",
+                          *_at(actions, "action_ts", tiebreak), "action_ts")
+    out = _out(keys, channel_id=T.LongType(), start=T.LongType(), since=T.LongType(), until=T.LongType(),
+               closed=T.BooleanType())
+    found = _run(slim, list(keys), PartState(seconds), out, "append", EVENT)
+    return found.select(*keys, F.col("channel_id").cast(actions.schema["channel_id"].dataType).alias("channel_id"),
+                        _time("start", "session_start"), _time("since", "part_start"), _time("until", "part_end"), "closed")
+
+
 def _numbered(events: DataFrame, tiebreak: str | None, clock: str) -> DataFrame:
     return events.select("user_id", type_number(F.col("event_type")).alias("number"),
                          *_at(events, "event_ts", tiebreak),
