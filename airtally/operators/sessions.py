@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airtally.functions.values import type_number
-from airtally.operators.skew import HOT_ROWS, cut_groups, hot_keys, lead_rows
+from airtally.operators.skew import HOT_ROWS, lead_rows
 
 # The action codes of the device feed.
 START, STOP, SWITCH = 1, 2, 3
 # Event types below START_BELOW open an activity, from END_FROM on close it.
 START_BELOW, END_FROM = 4, 7
 
-# Hot users whose list is cut into parts; the list of them is broadcast.
-LIST_ROWS = 100_000
-LIST_USERS = 100_000
-
 
 def device_sessions(actions: DataFrame, tiebreak: list[str] | None = None,
                     expire_open: bool = False, rows: int = HOT_ROWS, idle: str | None = None) -> DataFrame:
@@ -62,36 +58,17 @@ def _bounds(events: DataFrame) -> list:
             F.coalesce(closed, _epoch(events)).alias("end")]
 
 
-def user_activity(events: DataFrame, tiebreak: list[str] | None = None,
-                  rows: int = LIST_ROWS, at_most: int = LIST_USERS) -> DataFrame:
-    """Per user: the numbers of all event types in time order, start and end.
+def user_activity(events: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
+    """Per user and calendar day: the numbers of all event types in time order, and the
+    day's latest opening and closing time.
 
-    A user with up to ``rows`` events is one row, ``part`` 0. A heavier user's
-    list is whole too, but comes as several rows numbered by ``part`` in time
-    order, each made by its own task, so no list outgrows a task.
+    A day's list is whole. Days divide a user's list by a rule of the data, so its shape does
+    not depend on how many events there are, and no list grows with the years.
     """
-    typed = _typed(events)
     order = ["event_ts", *(tiebreak or []), "type_int"]
-    entry = F.struct(*order)
-    types = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["type_int"])
-
-    def whole_lists(rows_of: DataFrame) -> DataFrame:
-        return (rows_of.groupBy("user_id").agg(types.alias("type_ints"), *_bounds(events))
-                .select("user_id", F.lit(0).alias("part"), "type_ints", "start", "end"))
-
-    hot = hot_keys(typed, ["user_id"], rows, at_most, _bounds(events))
-    if hot is None:
-        return whole_lists(typed)
-    hot = F.broadcast(hot)  # at most ``at_most`` rows
-    normal = whole_lists(typed.join(hot, "user_id", "left_anti"))
-    # A piece, a range of the user's time, becomes one part of the list.
-    heavy = cut_groups(typed.join(hot, "user_id", "left_semi"), ["user_id"], order, rows, at_most)
-    parts = heavy.rows.groupBy("user_id", "piece").agg(types.alias("type_ints"))
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("piece")) - 1
-    numbers = heavy.rows.select("user_id", "piece").distinct().withColumn("part", place)
-    split = (parts.join(heavy.sized(numbers), ["user_id", "piece"]).join(hot, "user_id")
-             .select("user_id", "part", "type_ints", "start", "end"))
-    return normal.unionByName(split)
+    types = F.transform(F.sort_array(F.collect_list(F.struct(*order))), lambda e: e["type_int"])
+    return (_typed(events).groupBy("user_id", F.to_date("event_ts").alias("day"))
+            .agg(types.alias("type_ints"), *_bounds(events)))
 
 
 def type_spans(events: DataFrame) -> DataFrame:

@@ -26,8 +26,8 @@ HOT_ROWS = 2_000_000
 HOT_KEYS = 10_000
 # Tables with one row per piece are broadcast up to this many rows.
 BROADCAST_PIECES = 200_000
-# How often pieces that are still too big are cut again.
-MAX_CUTS = 12
+# Cut points of one key at most; above it pieces grow with the key.
+CUTS = 1024
 # Types whose values can be cut into ranges.
 RANGED = (T.NumericType, T.DatetimeType)
 
@@ -93,38 +93,58 @@ def cut_groups(df: DataFrame, keys: list[str], order: list[str], rows: int = HOT
     """Cut hot groups into pieces along the ``order`` columns; None when no key is hot.
 
     ``piece`` is an array of range numbers, all 0 for normal keys; pieces sort like
-    their rows. A hot group is cut into equal ranges of the first order column. What
-    is still too big is cut again, and a group of copies of one value along the next
-    order column. Equal rows over all of ``order`` share a piece.
+    their rows. One pass over the rows of the hot keys sketches the quantiles of the first order
+    column; each cut point is a piece of its own, between two of them lies another, so even
+    a burst is cut as finely as it is dense. A piece that is many copies of one
+    value is cut in the same way along the next order column. Equal rows over all of ``order``
+    share a piece.
     """
-    columns = list(order)
     cut, pieces = df.withColumns({"piece": F.array().cast("array<int>"), "is_hot": F.lit(False)}), 0
-    for step in range(MAX_CUTS):
-        if not columns or not isinstance(df.schema[columns[0]].dataType, RANGED):
+    for step, column in enumerate(order):
+        if not isinstance(df.schema[column].dataType, RANGED):
             break  # text cannot be cut into ranges
-        number = order_number(F.col(columns[0]), df.schema[columns[0]].dataType)
-        groups = [*keys, "piece"] if step else keys
-        hot = hot_keys(cut.filter("is_hot") if step else df, groups, 2 * rows if step else rows,
-                       at_most, [F.min(number).alias("low"), F.max(number).alias("high")])
+        if step == 0:
+            groups, hot = keys, hot_keys(df, keys, rows, at_most)
+        else:
+            groups, before = [*keys, "piece"], F.col(order[step - 1])
+            hot = hot_keys(cut.filter("is_hot"), groups, 2 * rows, at_most,
+                           [F.min(before).eqNullSafe(F.max(before)).alias("single")])
+            # Only copies of one value may be told apart by the next column.
+            hot = _local(hot.filter("single").drop("single")) if hot is not None else None
         if hot is None:
             break
-        found = hot.select(F.sum(F.col("slices") + 2), F.max(F.col("high") - F.col("low"))).first()
-        if step and not found[1]:
-            columns = columns[1:]  # nothing but copies of single values left
-            continue
-        pieces += found[0]
-        width = (F.col("h.high") - F.col("h.low")) / F.col("h.slices")
-        here = F.col("h.slices").isNotNull()
-        part = (F.when(here & F.col(columns[0]).isNull(), F.lit(-1))  # nulls sort first
-                .when(here & (width > 0), F.floor((number - F.col("h.low")) / width).cast("int"))
-                .otherwise(F.lit(0)))
-        cut = (cut.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", groups), "left")
+        number = order_number(F.col(column), df.schema[column].dataType)
+        cuts = _cut_points(cut, hot, groups, number)
+        pieces += cuts.select(F.sum(2 * F.size("cuts") + 2)).first()[0]
+        found = F.col("h.cuts")
+        here = found.isNotNull()
+        below = F.size(F.filter(found, lambda c: c < number))
+        part = (F.when(here & F.col(column).isNull(), F.lit(-1))  # nulls sort first
+                .when(here, 2 * below + F.array_contains(found, number).cast("int")).otherwise(F.lit(0)))
+        cut = (cut.alias("d").join(F.broadcast(cuts.alias("h")), same_keys("d", "h", groups), "left")
                .select(*[F.col(f"d.{c}") for c in df.columns],
                        F.concat(F.col("d.piece"), F.array(part)).alias("piece"),
                        (F.col("d.is_hot") | here).alias("is_hot")))
     return Cut(cut, pieces) if pieces else None
 
 
+def _cut_points(df: DataFrame, hot: DataFrame, groups: list[str], number: Column) -> DataFrame:
+    """``groups, cuts``: sorted values that cut each hot group into about its number of slices.
+
+    The sketches have a bounded size and combine on the map side; a key's cut points are
+    at most CUTS, so with the bound on hot keys the literal rows are bounded too.
+    """
+    most = min(max(2, *(r[0] for r in hot.select("slices").collect())), CUTS)
+    shares = [k / most for k in range(1, most)]
+    rows = (df.alias("d").join(F.broadcast(hot.alias("h")), same_keys("d", "h", groups))
+            .select(*[F.col(f"d.{k}").alias(k) for k in groups], F.col("h.slices").alias("slices"), number.alias("number")))
+    sketch = rows.groupBy(*groups).agg(F.first("slices").alias("slices"),
+                                       F.percentile_approx("number", shares, 10 * most).alias("points"))
+    step = F.greatest(F.lit(1), F.floor(F.size("points") / F.col("slices")).cast("int"))
+    chosen = F.filter("points", lambda p, i: (i + 1) % step == 0)
+    return _local(sketch.select(*groups, F.array_distinct(F.coalesce(chosen, F.array().cast("array<double>"))).alias("cuts")))
+
+
 def lead_rows(df: DataFrame, keys: list[str], order: list[str], values: list[str],
               prefix: str = "next_", rows: int = HOT_ROWS,
               at_most: int = HOT_KEYS) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airtally.operators.rowops import keyed_sample, keyed_split
+
 # The parameters of the model.
 TOKEN_GAPS = r'\s+|[,.()"]'
 VOCABULARY = 200_000
@@ -20,6 +22,16 @@ SAMPLE_FRACTIONS, SAMPLE_SEED = {1.0: 0.1, 0.0: 1.0}, 36
 SPLIT_WEIGHTS, SPLIT_SEED = [0.8, 0.2], 5043
 
 
+def balanced(df: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
+    """Fewer rows of the frequent class, so that both weigh about the same."""
+    return keyed_sample(df, label, SAMPLE_FRACTIONS, keys, SAMPLE_SEED)
+
+
+def train_and_test(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows; a row's side depends on its keys only."""
+    return keyed_split(df, SPLIT_WEIGHTS[0], keys, SPLIT_SEED)
+
+
 def join_text(df: DataFrame, parts: list[str], dst: str, drop: list[str] | None = None) -> DataFrame:
     """Text columns as one, blanks between; null when a part is null."""
     pieces = [piece for part in parts for piece in (F.lit(" "), F.col(part))][1:]
@@ -89,10 +101,11 @@ def top_weighted(weights: DataFrame, size: int = 5, largest: bool = True) -> Dat
     return weights.orderBy(order, "term").limit(size)
 
 
-def top_scored(predictions: DataFrame, predicted: float, size: int = 5) -> DataFrame:
-    """The most certain rows of one predicted class."""
+def top_scored(predictions: DataFrame, predicted: float, size: int = 5,
+               tiebreak: list[str] | None = None) -> DataFrame:
+    """The most certain rows of one predicted class; ``tiebreak`` orders equal scores."""
     sure = F.col("score").desc() if predicted == 1.0 else F.col("score").asc()
-    return predictions.filter(F.col("prediction") == predicted).orderBy(sure).limit(size)
+    return predictions.filter(F.col("prediction") == predicted).orderBy(sure, *(tiebreak or [])).limit(size)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -65,9 +65,8 @@ def device_sessions_live(v: Views):
 def user_activity_live(v: Views):
     found = state.user_activity_stream(Streams(v).typed_events(), tiebreak="event_id", mode="update",
                                        clock=state.NEVER)
-    rows = finish(found, "activity", "update", ["user_id"])
-    listed = F.concat_ws(",", F.col("type_ints").cast("array<string>"))
-    return rows.withColumns({"type_ints": listed, "part": F.lit(0)})
+    rows = finish(found, "activity", "update", ["user_id", "day"])
+    return rows.withColumn("type_ints", F.concat_ws(",", F.col("type_ints").cast("array<string>")))
 
 
 @query("type_spans_live", same_as="type_spans")

@@ -77,6 +77,18 @@ def topic_round_live(v: Views):
     return string_to_ts(back, "rated_ts", "rated_ts", TOPIC_TIME).drop("msgoffset", "msgtime")
 
 
+@query("line_topic_live", sql="SELECT c_name AS value FROM customer")
+def line_topic_live(v: Views):
+    """Line files to a topic, and the topic to line files again, as two streams."""
+    source, bus, target = (new_folder(v.spark, name) for name in ("lines", "bus", "lines"))
+    v.table("customer").select(F.col("c_name").alias("value")).write.text(source)
+    topics.lines_to_topic(files.text_lines(v.spark, source, stream=True), bus, "names", new_folder(v.spark, "checkpoint"),
+                          ALL_THERE_IS).awaitTermination()
+    lines = topics.message_lines(topics.topic_source(v.spark, bus, "names"))
+    files.text_sink(lines, target, new_folder(v.spark, "checkpoint"), trigger=ALL_THERE_IS).awaitTermination()
+    return files.text_lines(v.spark, target)
+
+
 @query("line_files_live", sql="SELECT c_name AS value FROM customer")
 def line_files_live(v: Views):
     """Line files as a stream, to line files."""

@@ -51,11 +51,11 @@ def device_sessions_idle(v: Views):
 
 
 @query("user_activity", ["numbered"], """
-SELECT user_id, 0 AS part,
+SELECT user_id, CAST(event_ts AS DATE) AS day,
        string_agg(CAST(type_int AS VARCHAR), ',' ORDER BY event_ts, event_id) AS type_ints,
        coalesce(max(event_ts) FILTER (WHERE type_int < 4), TIMESTAMP '1970-01-01') AS start,
        coalesce(max(event_ts) FILTER (WHERE type_int >= 7), TIMESTAMP '1970-01-01') AS "end"
-FROM numbered WHERE type_int IS NOT NULL GROUP BY user_id""")
+FROM numbered WHERE type_int IS NOT NULL GROUP BY user_id, CAST(event_ts AS DATE)""")
 def user_activity(v: Views):
     found = sessions.user_activity(v.typed_events(), tiebreak=["event_id"])
     return found.withColumn("type_ints", F.concat_ws(",", F.col("type_ints").cast("array<string>")))

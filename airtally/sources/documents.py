@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 # Which indexes carry epoch-second dates, and in which fields.
 EPOCH_INDEXES = "testAdOut*"
 EPOCH_FIELDS = ["start_ts", "end_ts"]
+#: Files of one index in one write.
+SLICES = 16
 
 
 def index_name(topic: Column, names: dict[str, str] | None = None) -> Column:
@@ -37,9 +39,14 @@ def index_documents(df: DataFrame, topic: Column, names: dict[str, str] | None =
     return named.select("index", F.when(fits, epoch).otherwise(plain).alias("document"))
 
 
-def write_index(documents: DataFrame, path: str) -> None:
-    """Documents as lines of JSON in one folder per index."""
-    documents.write.mode("overwrite").partitionBy("index").text(path)
+def write_index(documents: DataFrame, path: str, slices: int = SLICES) -> None:
+    """Documents as lines of JSON in one folder per index.
+
+    Rows are gathered by index and slice first, so an index has at most ``slices`` files, however many
+    tasks made its documents, and a large index is not one task's work.
+    """
+    gathered = documents.repartition("index", F.pmod(F.xxhash64("document"), F.lit(slices)))
+    gathered.write.mode("overwrite").partitionBy("index").text(path)
 
 
 def index_sink(df: DataFrame, topic: Column, path: str, checkpoint: str,

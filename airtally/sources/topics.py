@@ -2,7 +2,8 @@
 
 A topic is a DataFrame of messages ``key, value, topic, partition, offset,
 timestamp``, batch or streaming. It comes from a broker when Spark's Kafka package
-is on the class path, or from a folder of Parquet messages with the same columns.
+is on the class path, or from a folder of Parquet messages. Only a broker numbers messages:
+what is written to a folder has no partition and no offset, recorded messages keep theirs.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ MESSAGE = T.StructType([
     T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType())])
 
 BROKERS = "kafka:"  # prefix of a location that names brokers
-# Offsets written by one micro-batch start at batch * BATCH_OFFSETS.
-BATCH_OFFSETS = 1 << 43
 # Framing of registry values, one magic byte and a 4-byte schema id.
 MAGIC, FRAME = b"\x00", 5
 
@@ -73,12 +72,13 @@ def frame_value(schema_id: Column, payload: Column) -> Column:
 
 
 def _broker_options(location: str, topic: str, offset: int, partitions: int | None) -> dict:
-    options = {"kafka.bootstrap.servers": location.removeprefix(BROKERS), "subscribe": topic,
-               "startingOffsets": "earliest"}
-    if offset and partitions:
-        options["startingOffsets"] = json.dumps(
-            {topic: {str(p): offset for p in range(partitions)}})
-    return options
+    """Reader options. Each partition starts at the offset, so nothing before it is read."""
+    starting = "earliest"
+    if offset:
+        if not partitions:
+            raise ValueError("reading a broker from an offset needs the topic's number of partitions")
+        starting = json.dumps({topic: {str(p): offset for p in range(partitions)}})
+    return {"kafka.bootstrap.servers": location.removeprefix(BROKERS), "subscribe": topic, "startingOffsets": starting}
 
 
 def topic_source(spark: SparkSession, location: str, topic: str, offset: int = 0,
@@ -88,46 +88,57 @@ def topic_source(spark: SparkSession, location: str, topic: str, offset: int = 0
     if location.startswith(BROKERS):
         options = _broker_options(location, topic, offset, partitions)
         read = reader.format("kafka").options(**options).load()
-        return from_offset(read.select(*MESSAGE.fieldNames()), offset)
+        return read.select(*MESSAGE.fieldNames())
     folder = os.path.join(location, topic)
     return from_offset(reader.schema(MESSAGE).option("recursiveFileLookup", "true")
                        .parquet(folder), offset)
 
 
-def as_messages(encoded: DataFrame, topic: str, partitions: int = 4,
-                first_offset: int = 0) -> DataFrame:
-    """Encoded rows as messages: the partition follows the key, offsets ascend."""
+def as_envelopes(encoded: DataFrame, topic: str) -> DataFrame:
+    """Encoded rows as messages before a broker has numbered them: key, value, topic, time."""
     key = F.col("key") if "key" in encoded.columns else F.lit(None).cast("string")
-    return encoded.select(
-        key.cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        F.pmod(F.hash(F.coalesce(key.cast("string"), F.col("value").cast("string"))),
-               F.lit(partitions)).cast("int").alias("partition"),
-        (F.monotonically_increasing_id() + F.lit(first_offset)).alias("offset"),
-        F.current_timestamp().alias("timestamp"))
+    return encoded.select(key.cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                          F.lit(topic).alias("topic"), F.current_timestamp().alias("timestamp"))
 
 
-def write_topic(df: DataFrame, location: str, topic: str, key: str | None = None,
-                batch: int = 0) -> None:
-    """Write a bounded DataFrame as one batch of messages. Writing the same batch
-    again replaces it, so a repeated batch leaves no second copy."""
-    encoded = topic_encode(df, key)
+def _write_batch(encoded: DataFrame, location: str, topic: str, batch: int) -> None:
     if location.startswith(BROKERS):
         (encoded.write.format("kafka").option("topic", topic)
          .option("kafka.bootstrap.servers", location.removeprefix(BROKERS)).save())
-        return
-    (as_messages(encoded, topic, first_offset=batch * BATCH_OFFSETS)
-     .write.mode("overwrite").parquet(os.path.join(location, topic, f"batch{batch}")))
+    else:
+        as_envelopes(encoded, topic).write.mode("overwrite").parquet(os.path.join(location, topic, f"batch{batch}"))
 
 
-def topic_sink(df: DataFrame, location: str, topic: str, mode: str, checkpoint: str,
-               key: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Stream a DataFrame to a topic as JSON."""
+def write_topic(df: DataFrame, location: str, topic: str, key: str | None = None,
+                batch: int = 0) -> None:
+    """Write a bounded DataFrame as one batch of messages. Writing the same batch to a
+    folder again replaces it, so a repeated batch leaves no second copy."""
+    _write_batch(topic_encode(df, key), location, topic, batch)
+
+
+def _sink(encoded: DataFrame, location: str, topic: str, mode: str, checkpoint: str,
+          trigger: dict | None) -> StreamingQuery:
     if location.startswith(BROKERS):
-        writer = (topic_encode(df, key).writeStream.format("kafka").option("topic", topic)
+        writer = (encoded.writeStream.format("kafka").option("topic", topic)
                   .option("kafka.bootstrap.servers", location.removeprefix(BROKERS)))
     else:
-        writer = df.writeStream.foreachBatch(
-            lambda rows, batch: write_topic(rows, location, topic, key, batch))
+        writer = encoded.writeStream.foreachBatch(lambda rows, batch: _write_batch(rows, location, topic, batch))
     writer = writer.outputMode(mode).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def topic_sink(df: DataFrame, location: str, topic: str, mode: str, checkpoint: str,
+               key: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Stream a DataFrame to a topic as JSON."""
+    return _sink(topic_encode(df, key), location, topic, mode, checkpoint, trigger)
+
+
+def lines_to_topic(lines: DataFrame, location: str, topic: str, checkpoint: str,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Stream lines of text (column ``value``) to a topic, each as the value of a message as it is."""
+    return _sink(lines.select("value"), location, topic, "append", checkpoint, trigger)
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """The values of messages as lines of text; messages without a value give none."""
+    return messages.filter(F.col("value").isNotNull()).select(F.col("value").cast("string").alias("value"))

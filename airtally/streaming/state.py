@@ -160,41 +160,53 @@ class PartState(StatefulProcessor):
 
 
 class ActivityState(_Idle):
-    """All type numbers of a user so far, with the latest opening and closing time."""
+    """Type numbers of a user, a list per calendar day, with the day's latest opening and closing time."""
+
+    DAY = 86_400_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.bounds = handle.getValueState(
-            "bounds", T.StructType().add("start", T.LongType()).add("end", T.LongType()))
-        self.types = handle.getListState("types", T.StructType().add("n", T.IntegerType()))
+        day = T.StructType().add("day", T.IntegerType())
+        self.days = handle.getMapState("days", day, T.StructType().add("types", T.ArrayType(T.IntegerType()))
+                                       .add("start", T.LongType()).add("end", T.LongType()))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        start, end = self.bounds.get() if self.bounds.exists() else (0, 0)
-        fresh, newest = [], None
+        fresh: dict[int, list] = {}
+        newest = None
         for at, _, number in sorted((r.at, r.tie, r.number) for r in rows
                                     if r.at is not None and r.number is not None):
             newest = at
-            fresh.append((number,))
+            day = at // self.DAY
+            if day not in fresh:
+                known = self.days.getValue((day,)) if self.days.containsKey((day,)) else ([], 0, 0)
+                fresh[day] = [list(known[0]), known[1], known[2]]
+            fresh[day][0].append(number)
             if number < START_BELOW:
-                start = max(start, at)
+                fresh[day][1] = max(fresh[day][1], at)
             elif number >= END_FROM:
-                end = max(end, at)
-        if fresh:
-            self.types.appendList(fresh)
-        self.bounds.update((start, end))
+                fresh[day][2] = max(fresh[day][2], at)
         self._renew(timerValues, newest)
-        yield Row(user_id=key[0], type_ints=self._seen(), start=start, end=end)
+        # Only the days that changed are sent again.
+        for day, (types, start, end) in fresh.items():
+            self.days.updateValue((day,), (types, start, end))
+            yield Row(user_id=key[0], day=day, type_ints=types, start=start, end=end)
+        if self.clock == EVENT:
+            self._forget(timerValues.getCurrentWatermarkInMs() * 1000 // self.DAY)
+
+    def _forget(self, before: int) -> None:
+        """Drop the days that no row can reach any more, but the last one: it takes the closing mark."""
+        known = sorted(day[0] for day in self.days.keys())
+        for day in known[:-1]:
+            if day < before:
+                self.days.removeKey((day,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.timer.clear()
-        start, end = self.bounds.get() if self.bounds.exists() else (0, 0)
-        seen = self._seen()
-        self.bounds.clear()
-        self.types.clear()
-        yield Row(user_id=key[0], type_ints=[*seen, CLOSED_ACTIVITY], start=start, end=end)
-
-    def _seen(self) -> list[int]:
-        return [t[0] for t in self.types.get()] if self.types.exists() else []
+        known = [day[0] for day in self.days.keys()]
+        if known:
+            types, start, end = self.days.getValue((max(known),))
+            self.days.clear()
+            yield Row(user_id=key[0], day=max(known), type_ints=[*types, CLOSED_ACTIVITY], start=start, end=end)
 
 
 class SpanState(_Idle):
@@ -281,13 +293,13 @@ def _numbered(events: DataFrame, tiebreak: str | None, clock: str) -> DataFrame:
 
 def user_activity_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "update",
                          tiebreak: str | None = None, clock: str = PROCESSING) -> DataFrame:
-    """Streaming form of ``user_activity``: a row per user and trigger with the list
-    so far; after ``idle_ms`` a last row with the mark 500."""
+    """Streaming form of ``user_activity``: a row per user and day that a trigger changed, with
+    the day's list so far; after ``idle_ms`` the last day once more with the mark 500."""
     keys = {"user_id": events.schema["user_id"].dataType}
-    out = _out(keys, type_ints=T.ArrayType(T.IntegerType()), start=T.LongType(), end=T.LongType())
+    out = _out(keys, day=T.IntegerType(), type_ints=T.ArrayType(T.IntegerType()), start=T.LongType(), end=T.LongType())
     found = _run(_numbered(events, tiebreak, clock), ["user_id"],
                  ActivityState(idle_ms, clock), out, mode, clock)
-    return found.select("user_id", "type_ints", _time("start"), _time("end"))
+    return found.select("user_id", F.date_from_unix_date("day").alias("day"), "type_ints", _time("start"), _time("end"))
 
 
 def type_spans_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "append",

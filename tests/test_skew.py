@@ -178,12 +178,14 @@ def test_activity_of_a_hot_user_is_whole(skewed):
             types, start, end = want.get(r.user_id, ([], datetime(1970, 1, 1), datetime(1970, 1, 1)))
             n = int(r.event_type[5:])
             want[r.user_id] = (types + [n], r.event_ts if n < 4 else start, r.event_ts if n >= 7 else end)
-    for limit in (15, 1000):
-        got = {}
-        for r in sorted(user_activity(events, ["id"], rows=limit).collect(), key=lambda r: (r.user_id, r.part)):
-            types = got.get(r.user_id, ([],))[0]
-            got[r.user_id] = (types + list(r.type_ints), r.start, r.end)
-        assert got == want
+    got, days = {}, user_activity(events, ["id"]).collect()
+    for r in sorted(days, key=lambda r: (r.user_id, r.day)):
+        types, start, end = got.get(r.user_id, ([], datetime(1970, 1, 1), datetime(1970, 1, 1)))
+        got[r.user_id] = (types + list(r.type_ints), max(start, r.start), max(end, r.end))
+    assert got == want
+    # The shape is that of the days, however heavy a user is.
+    assert len(days) == events.filter("event_ts IS NOT NULL AND event_type <> 'type_'").selectExpr(
+        "user_id", "to_date(event_ts)").distinct().count()
     spans = {(r.user_id, r.type_int): (r.start, r.end) for r in type_spans(events).collect()}
     single = [v for v in spans.values() if v[1] == datetime(1970, 1, 1)]
     assert len(spans) > 100 and single
