@@ -5,7 +5,8 @@ automaton: words share prefixes and, as far as they are accepted alike, suffixes
 holds how many words come before it, so a walk adds up to the word's number, and that gives its ids.
 The automaton is a dense table over the byte classes in use; workers map it into memory and
 walk all new words of a batch at a time. Words outside the lexicon are merged
-exactly, pair by pair in rank order.
+exactly, pair by pair in rank order. Texts are cut into chunks before spaces first, and each
+different chunk is cut into pre-tokens and looked up once as long as it is remembered.
 
 Encoding equals the vocabulary file's own library without added special tokens; text equal to
 an added token becomes its id. Decoding joins the bytes of the ids and replaces invalid UTF-8.
@@ -33,12 +34,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airtally.llm import common
+from airtally.llm import chunks, common
 
 #: Words a task proposes, and words the lexicon holds.
 PROPOSED, LEXICON = 30_000, 50_000
-#: Words whose ids a worker remembers between batches.
-REMEMBERED = 400_000
 _NO_MERGE = 1 << 62
 _SPLIT = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -241,12 +240,18 @@ def lexicon(docs: DataFrame, path: str, proposed: int = PROPOSED, size: int = LE
         words, counted = vocabulary(path), Counter()
         for batch in batches:
             for text in common.texts_of(batch):
-                for part in pretokens(text, words):
-                    if not isinstance(part, int):
-                        counted.update(part)
+                pieces = chunks.cut(text)
+                # The first chunk of a text, without a space, is one of many.
+                counted.update([" " + text] if pieces is None else pieces[1:])
             if len(counted) > 20 * proposed:
                 counted = Counter(dict(counted.most_common(10 * proposed)))
-        top = [(word, n) for word, n in counted.most_common(proposed) if len(word) <= 40]
+        by_word: Counter = Counter()
+        for chunk, n in counted.items():
+            for part in pretokens(chunks.text_of(chunk), words):
+                if not isinstance(part, int):
+                    for word in part:
+                        by_word[word] += n
+        top = [(word, n) for word, n in by_word.most_common(proposed) if len(word) <= 40]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()),
                                           pa.array([n for _, n in top], pa.int64())], ["word", "n"])
 
@@ -271,75 +276,94 @@ def _open(data: bytes) -> Lexicon:
 
 
 class Encoder:
-    """Texts to ids as little-endian 32-bit numbers, with a bounded memory of words."""
+    """Texts to ids as 32-bit numbers, each different chunk once."""
 
     def __init__(self, words: Vocabulary, known: Lexicon) -> None:
-        self.words, self.known, self.memory = words, known, {}
-
-    def _learn(self, new: list[str]) -> None:
+        self.words, self.known = words, known
+        self.chunks = chunks.ByChunk(np.uint32, self._learn, lambda text: self._ids([text])[0], list(words.added))
+        self.encode = self.chunks.encode
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts: their different words walk the lexicon together."""
+        split = [list(pretokens(text, self.words)) for text in texts]
+        new = list({word for parts in split for part in parts if not isinstance(part, int) for word in part})
         raw = [word.encode() for word in new]
-        for word, data, number in zip(new, raw, self.known.numbers(raw).tolist()):
-            self.memory[word] = (self.known.packed(number) if number >= 0
-                                 else np.array(self.words.merge(data), np.uint32).tobytes())
-
-    def encode(self, text: str) -> bytes:
-        if len(self.memory) > REMEMBERED:
-            self.memory.clear()
-        out: list[bytes] = []
-        for part in pretokens(text, self.words):
-            if isinstance(part, int):
-                out.append(np.uint32(part).tobytes())
-                continue
-            if new := set(part).difference(self.memory):
-                self._learn(sorted(new))
-            out.extend(map(self.memory.__getitem__, part))
-        return b"".join(out)
+        ids = {word: self.known.packed(number) if number >= 0 else np.array(self.words.merge(data), np.uint32).tobytes()
+               for word, data, number in zip(new, raw, self.known.numbers(raw).tolist())}
+        return [np.frombuffer(b"".join([x for part in parts for x in (
+            [np.uint32(part).tobytes()] if isinstance(part, int) else map(ids.__getitem__, part))]), np.uint32) for parts in split]
+
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._ids(list(map(chunks.text_of, new)))
+        return np.concatenate(found), np.array([len(ids) for ids in found])
+
+
+@cache
+def _pieces(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all ids one after another, where each id's begin and how many they are."""
+    pieces = vocabulary(path).pieces
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    return np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def decode(ids: Iterable[int], words: Vocabulary) -> str:
-    return b"".join(map(words.pieces.__getitem__, ids)).decode("utf-8", "replace")
+def decode(ids: np.ndarray, path: str) -> str:
+    data, starts, sizes = _pieces(path)
+    length = sizes[ids]
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    places = np.repeat(starts[ids] - ends + length, length) + np.arange(total)
+    return data[places].tobytes().decode("utf-8", "replace")
 
 
 def encode(docs: DataFrame, path: str, data: bytes) -> DataFrame:
     """(doc_id, ids): the ids of every whole text."""
-    return _run(docs, path, data, "ids array<int>", lambda ids, words: (
-        np.frombuffer(ids, np.int32).tolist(),))
+    return _run(docs, path, data, "ids array<int>", lambda ids: (ids.view(np.int32).tolist(),))
 
 
 def digest(docs: DataFrame, path: str, data: bytes) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text."""
-    def row(ids: bytes, words: Vocabulary) -> tuple[int, str, str]:
-        text = decode(np.frombuffer(ids, np.uint32).tolist(), words)
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+    def row(ids: np.ndarray) -> tuple[int, str, str]:
+        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decode(ids, path).encode()).hexdigest()
 
     return _run(docs, path, data, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", row)
 
 
-def _run(docs: DataFrame, path: str, data: bytes, columns: str,
-         row: Callable[[bytes, Vocabulary], tuple]) -> DataFrame:
+def _run(docs: DataFrame, path: str, data: bytes, columns: str, row: Callable[[np.ndarray], tuple]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(data)
     kinds = {"array<int>": pa.list_(pa.int32()), "bigint": pa.int64(), "string": pa.string()}
     fields = [pair.split(" ") for pair in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        encoder = Encoder(words, _open(shared.value))
+        encoder = _encoder(path, shared.value)
         for batch in batches:
-            rows = [row(encoder.encode(text), words) for text in common.texts_of(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array([r[i] for r in rows], kinds[kind])
-                                           for i, (_, kind) in enumerate(fields)]],
-                ["doc_id", *[name for name, _ in fields]])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows = [row(ids) for ids in encoder.encode(common.texts_of(part))]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *[pa.array([r[i] for r in rows], kinds[kind])
+                                              for i, (_, kind) in enumerate(fields)]],
+                    ["doc_id", *[name for name, _ in fields]])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {columns}")
 
 
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def _encoder(path: str, data: bytes) -> Encoder:
+    """The worker's encoder of a lexicon; it remembers chunks from task to task."""
+    known = _open(data)
+    if (path, id(known)) not in _encoders:
+        _encoders.clear()
+        _encoders[path, id(known)] = Encoder(vocabulary(path), known)
+    return _encoders[path, id(known)]
+
+
 def decoded(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give a null text."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = vocabulary(path)
-        texts = [None if ids is None else decode(ids, words) for ids in batch.column("ids").to_pylist()]
+        texts = [None if ids is None else decode(np.array(ids, np.int64), path) for ids in batch.column("ids").to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()

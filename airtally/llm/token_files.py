@@ -38,38 +38,10 @@ from airtally.session import written
 
 #: Ids of a sequence, and sequences of a record batch.
 LENGTH, SEQUENCES = 1024, 256
-#: Chunks, and characters of chunks, that a worker remembers.
-REMEMBERED, REMEMBERED_CHARS = 1_000_000, 1 << 26
 #: Characters handed to the library at once where many chunks are new.
 JOINED = 1 << 14
 
 
-class _Numbers(dict):
-    """Numbers strings as they first come; ``new`` lists them."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        self[key] = number = len(self)
-        self.new.append(key)
-        return number
-
-
-class _Grown:
-    """An array that grows at its end."""
-
-    def __init__(self, kind: np.dtype | type) -> None:
-        self.values, self.n = np.zeros(1 << 16, kind), 0
-
-    def add(self, more: np.ndarray) -> None:
-        if self.n + len(more) > len(self.values):
-            self.values = np.concatenate([self.values[:self.n], np.zeros(self.n + len(more), self.values.dtype)])
-        self.values[self.n:self.n + len(more)] = more
-        self.n += len(more)
-
-
 class LibraryEncoder:
     """Whole texts to ids by the tokenizers library, each different chunk once."""
 
@@ -89,73 +61,43 @@ class LibraryEncoder:
         pieces = bpe.vocabulary(path).pieces if self.by_chunk else []
         self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self._forget()
-
-    def _forget(self) -> None:
-        """Nothing remembered: a chunk's number gives the place and length of its ids in ``ids``."""
-        self.numbers, self.chars = _Numbers(), 0
-        self.ids, self.starts, self.sizes = _Grown(self.kind), _Grown(np.int64), _Grown(np.int64)
+        self.chunks = chunks.ByChunk(self.kind, self._learn, self.whole, [token["content"] for token in read["added_tokens"]])
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if not self.by_chunk:
-            return list(map(self.whole, texts))
-        if len(self.numbers) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self._forget()
-        found: list[np.ndarray] = []
-        for text in texts:
-            pieces = chunks.cut(text)
-            if pieces is None:
-                pieces = []
-            else:
-                # No other chunk holds a space: this one has none before it in the text.
-                pieces[0] = " " + pieces[0]
-            found.append(np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces)))
-        self._learn()
-        numbers = np.concatenate(found or [np.zeros(0, np.int64)])
-        sizes = self.sizes.values[numbers]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids.values[np.repeat(self.starts.values[numbers] - ends + sizes, sizes) + np.arange(total)]
-        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, found)])]
-        return [ids[low:high] if len(part) else self.whole(text)
-                for text, part, low, high in zip(texts, found, ends, ends[1:])]
-
-    def _learn(self) -> None:
-        """The ids of the new chunks, in the order of their numbers."""
-        new, self.numbers.new = self.numbers.new, []
-        self.chars += sum(map(len, new))
+        return self.chunks.encode(texts) if self.by_chunk else list(map(self.whole, texts))
+
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         part, size = [], 0
         for chunk in new:
             joined = chunk[:1] != " " and chunks.joins(chunk)
             if part and (not joined or size > JOINED):
-                self._learn_joined(part)
+                self._learn_joined(part, ids, sizes)
                 part, size = [], 0
             if joined:
                 part.append(chunk)
                 size += len(chunk) + 1
             else:
-                self._add(self.whole(chunk[1:] if chunk[:1] == " " else " " + chunk), np.zeros(1, np.int64))
+                ids.append(self.whole(chunks.text_of(chunk)))
+                sizes.append(np.array([len(ids[-1])]))
         if part:
-            self._learn_joined(part)
-
-    def _add(self, ids: np.ndarray, starts: np.ndarray) -> None:
-        self.starts.add(starts + self.ids.n)
-        self.sizes.add(np.diff(starts, append=len(ids)))
-        self.ids.add(ids)
+            self._learn_joined(part, ids, sizes)
+        return np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn_joined(self, part: list[str]) -> None:
+    def _learn_joined(self, part: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
         """Encode chunks as one text: the bytes of its ids show where each chunk ends."""
-        ids = self.whole(" " + " ".join(part))
-        ends = np.cumsum(self.lengths[ids])
+        ids.append(self.whole(" " + " ".join(part)))
+        ends = np.cumsum(self.lengths[ids[-1]])
         wanted = np.cumsum([len(chunk.encode()) + 1 for chunk in part])
         at = np.searchsorted(ends, wanted)
         if not np.array_equal(ends[at], wanted):
             raise ValueError("an id crosses the border of two chunks")
-        self._add(ids, np.concatenate([[0], at[:-1] + 1]))
+        sizes.append(np.diff(at, prepend=-1))
 
 
 @cache

@@ -30,12 +30,12 @@ def _odd_texts(n, seed=7):
 
 
 def test_chunks_encode_as_whole_texts(library):
-    texts = _odd_texts(3000) + ["", " ", "  a", " a", "a ", "a \n b", "a\n \nb", "a\n b", "! !", "word " * 3000, "y" * 5000]
+    texts = _odd_texts(3000) + ["", " ", "  a", " a", "a ", "a \n b", "a\n \nb", "a\n b", "! !", "a\n <|endoftext|> b", "a\t <|endoftext|>", "word " * 3000, "y" * 5000]
     encoder = token_files.LibraryEncoder(PATH)
     for at in range(0, len(texts), 100):
         part = texts[at:at + 100]
         assert [ids.tolist() for ids in encoder.encode(part)] == [_ids(library, text)[:-1] for text in part]
-    encoder._forget()
+    encoder.chunks.forget()
     assert encoder.encode(["a word again"])[0].tolist() == _ids(library, "a word again")[:-1]
     assert chunks.cut("a  b") is None and chunks.cut("a b\nc") == ["a", "b\nc"]
 
@@ -83,3 +83,19 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     found = token_files.checksums(docs, new_folder(spark, "token-test"), PATH)
     assert found.collect() == [] and found.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_own_encoder_by_chunk_as_whole_texts(library):
+    """The automaton's encoder shares the cutting into chunks: the same odd texts, the same ids."""
+    from airtally.llm import bpe
+
+    words = bpe.vocabulary(PATH)
+    known = bpe.Lexicon(bpe.Lexicon.compiled((w, words.merge(w)) for w in sorted([b" word", b"word", b" ", b"\n", b"!"])))
+    encoder = bpe.Encoder(words, known)
+    texts = _odd_texts(2000, 9) + ["", " ", "a\n <|endoftext|> b", "a \n b", "z" * 3000, "  lead", "trail  "]
+    for at in range(0, len(texts), 200):
+        part = texts[at:at + 200]
+        assert [ids.tolist() for ids in encoder.encode(part)] == [_ids(library, text)[:-1] for text in part]
+    for text in part:
+        ids = np.array(_ids(library, text), np.int64)
+        assert bpe.decode(ids, PATH) == library.decode(ids.tolist(), skip_special_tokens=False)
