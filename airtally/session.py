@@ -83,6 +83,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that ``written`` made, once nothing reads it any more."""
+    files = table.inputFiles()
+    if files:
+        spark = table.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def plain_times(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock values without a zone, as other engines read them."""
     return df.select([
