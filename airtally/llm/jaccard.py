@@ -14,9 +14,10 @@ components is missed. Tokens of near-copy groups and common passages are ordered
 copy's own changes fill its prefix and rule out distant copies without a comparison.
 
 Cases: null or empty text, or text without words: no shingles, linked with nothing (its own
-component); a row without doc_id gets the component of its set, null if no row of it has
-an id; rows of one doc_id are one document and linked; repeated rows each get a row; an empty
-table gives an empty result. Other columns are not read.
+component); a row without doc_id links like any other and gets the smallest doc_id it reaches, null if
+there is none; rows of one doc_id are one document and linked; repeated rows each get a row;
+an empty table gives an empty result. Very long texts are read whole. ``components`` reads ``doc_id`` and
+``text`` only. Ids are below ``NO_ID``; numbers from there on stand for sets that no row with an id has.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airtally.llm import common, graph, words
-from airtally.session import written
+from airtally.session import discard, written
 
 #: Words of a shingle, and the least similarity in percent.
 WIDTH, PERCENT = 4, 85
@@ -40,6 +41,8 @@ SHARED = 3
 FREQUENT, MOST_FREQUENT = 32, 1_000_000
 #: Share of frequent tokens in a prefix from which on all tokens of the document are counted.
 HOT_SHARE = 0.1
+#: Nodes of sets without an id are numbered by their hash from here on, after all ids.
+NO_ID = 1 << 62
 #: Node ids up to this number are broadcast to pick texts; above it they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -62,6 +65,15 @@ def _among(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
 
 
+def _set_id(tokens: np.ndarray) -> bytes:
+    return hashlib.md5(tokens.tobytes()).digest()
+
+
+def _node(set_id: bytes) -> int:
+    """The node of a set that no row with an id has."""
+    return NO_ID | int.from_bytes(set_id[:8], "little") >> 2
+
+
 def _place(prefix_tokens: np.ndarray, frequent: np.ndarray) -> int:
     """A number that grows with the place of the prefix' last token in the first order."""
     if not len(prefix_tokens):
@@ -126,7 +138,8 @@ def frequent_tokens(docs: DataFrame, width: int, percent: int, shared: int) -> n
 
 
 def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int, shared: int) -> DataFrame:
-    """(doc_id, n, set_id, last, prefix) of every row; ``last`` is the place of the prefix' end."""
+    """(doc_id, n, set_id, own, last, prefix) of every row; ``last`` is the place of the prefix' end,
+    ``own`` the node of the set should no row with an id have it."""
     shared_list = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,19 +148,20 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int, s
                 part = batch.slice(at, 1000)
                 sets = [_tokens(text, width) for text in common.texts_of(part)]
                 firsts = [prefix(s, 0, shared_list.value, percent, shared) for s in sets]
+                set_ids = list(map(_set_id, sets))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
+                     pa.array(set_ids, pa.binary()), pa.array(list(map(_node, set_ids)), pa.int64()),
                      pa.array([_place(f, shared_list.value) for f in firsts], pa.int64()), _flat(firsts)],
-                    ["doc_id", "n", "set_id", "last", "prefix"])
+                    ["doc_id", "n", "set_id", "own", "last", "prefix"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        work, "doc_id bigint, n bigint, set_id binary, last bigint, prefix array<bigint>")
+        work, "doc_id bigint, n bigint, set_id binary, own bigint, last bigint, prefix array<bigint>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, frequent: np.ndarray, width: int, percent: int, shared: int) -> DataFrame:
-    """(node, n, tokens, second, third) of the documents with the ids: whole sets and the
-    prefixes under the other orders."""
+    """(node, n, tokens, second, third) of the nodes: whole sets and the prefixes under the other
+    orders. Texts without an id are looked at one of each, as only their sets tell their nodes."""
     shared_list = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,13 +170,19 @@ def _sets(docs: DataFrame, ids: DataFrame, frequent: np.ndarray, width: int, per
                 part = batch.slice(at, 1000)
                 sets = [_tokens(text, width) for text in common.texts_of(part)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _flat(sets),
+                    [pa.array([_node(_set_id(s)) if i is None else i for i, s in zip(part.column("doc_id").to_pylist(), sets)], pa.int64()),
+                     pa.array([len(s) for s in sets], pa.int64()), _flat(sets),
                      *[_flat([prefix(s, order, shared_list.value, percent, shared) for s in sets]) for order in (1, 2)]],
                     ["node", "n", "tokens", "second", "third"])
 
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = (docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi").distinct())
-    return rows.mapInArrow(work, "node bigint, n bigint, tokens array<bigint>, second array<bigint>, third array<bigint>")
+    columns = "node bigint, n bigint, tokens array<bigint>, second array<bigint>, third array<bigint>"
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    known = rows.join(ids, F.col("doc_id") == F.col("node"), "left_semi").distinct().mapInArrow(work, columns)
+    # Texts that differ may have one set.
+    other = (rows.where(F.col("doc_id").isNull()).distinct().mapInArrow(work, columns)
+             .join(ids, "node", "left_semi").dropDuplicates(["node"]))
+    return known.unionByName(other)
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, frequent: np.ndarray, width: int, percent: int, shared: int) -> DataFrame:
@@ -181,15 +201,27 @@ def _linked(pairs: DataFrame, docs: DataFrame, frequent: np.ndarray, width: int,
 
 def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shared: int = SHARED) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    members, labels = _linked_nodes(docs, width, percent, shared)
+    reached = F.coalesce("label", "node")
+    return (members.join(labels, "node", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") == 0, F.col("doc_id")).when(reached < NO_ID, reached).alias("component_id")))
+
+
+def _linked_nodes(docs: DataFrame, width: int, percent: int, shared: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, set_id, node) of every row, and (node, label) of the nodes that are linked."""
     args = (width, percent, shared)
     frequent = frequent_tokens(docs, *args)
     profiles = written(_profiles(docs, frequent, *args), "profiles")
     # Equal sets have equal prefixes, so any of them is the class's.
     classes = written(profiles.where(F.col("n") > 0).groupBy("set_id", "n", "last")
-                      .agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix")), "classes")
+                      .agg(F.coalesce(F.min("doc_id"), F.min("own")).alias("node"), F.first("prefix").alias("prefix")), "classes")
     members = written(profiles.select("doc_id", "n", "set_id")
-                      .join(classes.select("set_id", "node"), "set_id", "left").select("doc_id", "n", "node"), "members")
+                      .join(classes.select("set_id", "node"), "set_id", "left"), "members")
+    # Each set's prefix is in its class now.
+    discard(profiles)
     meets = _meets(classes)
+    discard(classes)
 
     leaders = meets.groupBy("token").agg(*[F.min_by(c, "own").alias(f"{c}_a") for c in ("node", "n")])
     stars = (meets.join(leaders, "token").where(F.col("node") != F.col("node_a"))
@@ -199,7 +231,7 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shar
     stars = written(stars.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
                     .distinct(), "stars")
     # Sets of one doc_id belong to one document.
-    first = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    first = members.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     same = members.join(first.where(F.col("a") < F.col("b")).select("doc_id", "a"), "doc_id").select(
         "a", F.col("node").alias("b")).where(F.col("a") != F.col("b"))
     linked = written(_linked(stars, docs, frequent, *args).union(same).distinct(), "links")
@@ -209,9 +241,7 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, shar
     if not across.isEmpty():
         more = _linked(across, docs, frequent, *args)
         labels = graph.components(linked.union(more))
-    return (members.join(labels.withColumnRenamed("label", "linked"), "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("linked", "node")).alias("component_id")))
+    return members, labels
 
 
 def _meets(classes: DataFrame) -> DataFrame:
@@ -220,7 +250,7 @@ def _meets(classes: DataFrame) -> DataFrame:
     ``met`` counts the node's rows here, ``k`` numbers them in the first order. ``own`` orders
     nodes by the share of their prefix that no other node has, a hash settling ties.
     """
-    tokens = classes.where(F.col("node").isNotNull()).select(
+    tokens = classes.select(
         "node", "n", "last", F.size("prefix").alias("length"), F.posexplode("prefix").alias("place", "token"))
     several = (tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                .where(F.col("low") < F.col("high")).select("token"))
@@ -286,12 +316,30 @@ def _across(meets: DataFrame, labels: DataFrame, percent: int, shared: int) -> D
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The documents, one row of each group: that of the smallest id.
 
-    Rows with a null id, and groups without one, stay; of several rows with the group's id the
-    smallest stays. All columns are kept.
+    Of several rows with the group's id, or of a group without any id, the first as JSON stays. Rows without
+    words have no copies: all without an id stay, one of each id. All columns are kept, of any type.
     """
-    found = components(docs, width, percent)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
-    columns = [F.col(f"`{name}`") for name in docs.columns]
-    one = known.groupBy(F.col("doc_id").alias("_keep")).agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    members, labels = _linked_nodes(docs, width, percent, SHARED)
+    reached = F.coalesce("label", "node")
+    groups = members.join(labels, "node", "left").select(
+        "doc_id", "n", "set_id", F.when(F.col("n") > 0, reached).otherwise(F.col("doc_id")).alias("group"))
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    packed = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"))
+
+    keep = groups.where(F.col("doc_id") == F.col("group")).select(F.col("doc_id").alias("id")).distinct()
+    known = (packed.where(F.col("id").isNotNull()).join(keep, "id", "left_semi")
+             .groupBy("id").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [_tokens(text, width) for text in common.texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array([_set_id(t) for t in tokens], pa.binary()), pa.array([len(t) for t in tokens], pa.int64()),
+                                              batch.column("text")], ["set_id", "n", "text"])
+
+    without = packed.where(F.col("id").isNull())
+    texts = without.select(F.col("row.text").alias("text")).distinct().mapInArrow(sets, "set_id binary, n bigint, text string")
+    alone = groups.where(F.col("doc_id").isNull() & (F.col("group") >= NO_ID)).select("set_id", "group").distinct()
+    unknown = (without.join(texts, F.col("row.text").eqNullSafe(F.col("text"))).join(alone, "set_id", "left")
+               .where((F.col("n") == 0) | F.col("group").isNotNull()))
+    one = (unknown.where("n > 0").groupBy("group").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*"))
+    return known.unionByName(one).unionByName(unknown.where("n = 0").select("row.*"))

@@ -239,3 +239,27 @@ def test_pipeline(spark):
     assert Counter(r.doc_id for r in last) == Counter(r.doc_id for r in seen.collect()) and sum(copies.values()) == len(last)
     text = {i: t for i, t in copies}
     assert all(r.n_tokens == len(reference.encode(text[r.doc_id]).ids) for r in last)
+
+
+def test_rows_without_an_id_link_too(spark):
+    """A text without an id may hold two documents together; copies without ids leave one."""
+    words = [f"w{k}" for k in range(200)]
+    middle, left, right = list(words), list(words), list(words)
+    left[20], left[60], right[120], right[160] = "a", "b", "c", "d"
+    texts = {k: " ".join(w) for k, w in (("left", left), ("middle", middle), ("right", right))}
+    sets = {k: _set(t) for k, t in texts.items()}
+    share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets}
+    assert share["left", "middle"] >= 0.85 <= share["middle", "right"] and share["left", "right"] < 0.86
+    lone = " ".join(f"q{k}" for k in range(80))
+    rows = [(1, texts["left"]), (None, texts["middle"]), (3, texts["right"]), (None, lone), (None, lone), (None, lone + " end"),
+            (None, None), (None, ""), (8, "other words of its own"), (None, "other words of its own"), (8, "other words of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "map('k', text) AS group", "1 AS id", "'x' AS row", "2 AS set_id", "3 AS n")
+    found = jaccard.components(docs).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=repr) == sorted(
+        [(1, 1), (None, 1), (3, 1), *[(None, None)] * 5, (8, 8), (8, 8), (None, 8)], key=repr)
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, texts["left"]), (None, lone + " end"), (None, None), (None, ""), (8, "other words of its own")], key=repr)
+    assert jaccard.one_of_each(docs.limit(0)).collect() == []
