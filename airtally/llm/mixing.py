@@ -188,17 +188,31 @@ def mixed(docs: DataFrame) -> DataFrame:
     return plan(docs).select("doc_id", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), "taken")
 
 
+def _key(doc_id: Column, source: Column, size: Column) -> Column:
+    """One column for what the plan knows of a row, null or not, so that join and window share a shuffle."""
+    return F.md5(F.to_json(F.struct(doc_id.cast("string").alias("a"), source.cast("string").alias("b"), size.cast("long").alias("c"))))
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, with their columns; documents of size 0 go."""
-    spread = plan(docs).where("copies > 0").select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"),
-                                                   F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies"))
-    return docs.join(_by_document(spread), docs["doc_id"].eqNullSafe(F.col("_mix_id")) & docs["source"].eqNullSafe(
-        F.col("_mix_source")) & (F.size(rules.words_of(docs["text"])) == F.col("_mix_size"))).withColumn(
-        "_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies")))).select(
-        [docs[name] for name in docs.columns])
-
-
-def _by_document(spread: DataFrame) -> DataFrame:
-    """One row per distinct (id, source, size): equal rows share the smallest number of copies
-    above zero that any of them has."""
-    return spread.groupBy("_mix_id", "_mix_source", "_mix_size").agg(F.min("_mix_copies").alias("_mix_copies"))
+    """The documents as often as the mix takes them, with their columns; documents of size 0 go.
+
+    Rows that the plan cannot tell apart (one id or none, one source, one size) are numbered by a
+    hash of their text, and the plan's copies are dealt out in that order, the largest first, so the words
+    of a source are those planned. Their columns lie in a struct meanwhile, so names cannot clash.
+    """
+    each = [F.count(F.when(F.col("copies") == k, 1)) for k in range(MOST, 0, -1)]
+    planned = (plan(docs).where("copies > 0").withColumn("key", _key(F.col("doc_id"), F.col("source"), F.col("size")))
+               .groupBy("key").agg(F.array(*each).alias("rows")))
+    size = F.size(rules.words_of(F.col("text")))
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    packed = docs.select(row.alias("row"), _key(F.col("doc_id"), F.col("source"), size).alias("key"), F.xxhash64("text").alias("spread"))
+    number = F.row_number().over(Window.partitionBy("key").orderBy("spread"))
+    # The first rows get MOST copies, as many as the plan has of those, then fewer.
+    copies = F.aggregate("rows", F.struct(F.lit(0).cast("long").alias("before"), F.lit(0).alias("place"), F.lit(0).alias("copies")),
+                         lambda state, n: F.struct(
+                             (state["before"] + n).alias("before"), (state["place"] + 1).alias("place"),
+                             F.when((state["before"] < F.col("number")) & (F.col("number") <= state["before"] + n),
+                                    F.lit(MOST) - state["place"]).otherwise(state["copies"]).alias("copies")),
+                         lambda state: state["copies"])
+    dealt = packed.join(planned, "key").withColumn("number", number).select("row", copies.alias("copies")).where("copies > 0")
+    return dealt.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -263,3 +263,26 @@ def test_rows_without_an_id_link_too(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
         [(1, texts["left"]), (None, lone + " end"), (None, None), (None, ""), (8, "other words of its own")], key=repr)
     assert jaccard.one_of_each(docs.limit(0)).collect() == []
+
+
+def test_mixed_words_are_those_planned(spark):
+    """Rows without ids, and rows that the plan cannot tell apart, are taken as often as planned."""
+    pick = random.Random(21)
+    rows = [(None if i % 3 else i, " ".join(pick.choice("abcdef") for _ in range(pick.randint(0, 6))), pick.choice(["s", "t", "u", None]))
+            for i in range(600)]
+    rows += [(None, "one two three", "s")] * 40 + [(7, "same row", "t")] * 30 + [(900, None, "s"), (901, "word " * 5000, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
+        "*", "map('m', 1) AS copies", "2 AS key", "3 AS number", "4 AS row", "5 AS size")
+    words, wanted, taken = lambda text: len(WORD.findall(text or "")), Counter(), Counter()
+    for r in mixing.plan(docs).collect():
+        wanted[r.source] += r.taken
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    found = mixed.collect()
+    for r in found:
+        taken[r.source] += words(r.text)
+    assert taken == wanted and all(words(r.text) for r in found)
+    often = Counter((r.doc_id, r.text, r.source) for r in found)
+    here = Counter((i, t, s) for i, t, s in rows)
+    assert all(n <= 3 * here[k] for k, n in often.items())
+    assert mixing.mixed_documents(docs.limit(0)).collect() == []
