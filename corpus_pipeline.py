@@ -6,7 +6,7 @@ folder of ``spark.checkpoint.dir`` and read again as the next one's input.
 
 Cases: null texts, empty tables, repeated rows and extra columns are handled as the
 operators state. ``near_duplicates`` keeps one row of each group of texts linked by a similarity of
-0.8 or more over runs of five words; documents without words have no duplicates. ``redact_secrets`` keeps ``n_chars`` as it came. ``mix_sources`` repeats
+0.8 or more over runs of five words, also of those without an id; documents without words have no duplicates. ``redact_secrets`` keeps ``n_chars`` as it came. ``mix_sources`` repeats
 a row for each copy the mix takes.
 """
 
