@@ -1,15 +1,17 @@
 """Quality rules: base counts, and a hashed n-gram log-likelihood ratio with a fixed threshold.
 
-Character n-grams at the start, the end and the meeting points of words are hashed into buckets:
-their variety stays small however large the corpus. Two multinomials over the buckets are
-estimated, one from a trusted target (labelled good documents) and one from the whole
-corpus. A document's score is the mean over its n-grams of the log of the ratio of the two;
-documents below the threshold are rejected. Everything is DataFrame expressions: counting is one
-grouped aggregation into a fixed number of buckets, scoring happens within the row.
+Whole words and pairs of neighbouring words are hashed into buckets, each kind into its half of
+them. Two multinomials over the buckets are estimated, one from a trusted target (all documents
+labelled good) and one from the whole corpus. A document's score is the mean over its n-grams of
+the log of the ratio of the two; documents below the threshold are rejected. Everything is
+DataFrame expressions: counting is one grouped aggregation into a fixed number of buckets,
+scoring happens within the row.
 
 Cases: null or empty text has no words, fails the base rules and scores 0; each input row gives
-one row, repeated rows and null ids included; without target rows (no labels, empty table) all
-ratios are 0 and only the base rules decide. ``decided`` reads ``doc_id`` and ``text`` only;
+one row, repeated rows and null ids included; a text of any length is read whole; a score equal
+to the threshold is kept; an id labelled good several times counts once, an id labelled both good
+and bad counts as good; without target rows (no labels, empty table) all ratios are 0 and only
+the base rules decide. ``decided`` reads ``doc_id`` and ``text`` only;
 ``kept_documents`` keeps the documents' columns and adds none, so names cannot clash.
 """
 
@@ -23,10 +25,10 @@ from pyspark.sql import functions as F
 
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 16
-#: Good documents that form the target at most: those with the smallest hashes of their ids.
-TARGET_ROWS = 20_000
-#: Mean log ratio (in nats per n-gram) below which a document is rejected.
-THRESHOLD = -0.8
+#: Mean log ratio (in nats per n-gram) below which a document is rejected. A word that only an
+#: unlabelled document holds has log(PRIOR / (PRIOR + share)): with up to half of the corpus in the
+#: target, such words alone reject nothing.
+THRESHOLD = -0.25
 #: Occurrences added to a bucket's target count and to what the corpus would make it: rare n-grams
 #: stay near a ratio of 1, whatever the corpus' size.
 PRIOR = 2.0
@@ -52,26 +54,16 @@ def _neighbours(words: Column, n: int, combine: Callable[..., Column]) -> Column
     return F.transform(firsts, lambda word, i: combine(word, *[F.get(words, i + k) for k in range(1, n)]))
 
 
-def _bucket(kind: int, *parts: Column) -> Column:
-    # The number of buckets is a power of two.
-    return F.xxhash64(F.lit(kind), *parts).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-
-
-def _at_start(word: Column) -> Column:
-    return _bucket(1, F.substring(word, 1, 3))
-
-
-def _at_end(word: Column) -> Column:
-    return _bucket(2, F.substring(word, -3, 3))
-
-
-def _meeting(word: Column, following: Column) -> Column:
-    return _bucket(3, F.substring(word, -2, 2), F.substring(following, 1, 2))
+def _bucket(n: int, *words: Column) -> Column:
+    """Bucket of an n-gram of words: single words in the lower half, pairs in the upper one."""
+    # Half the number of buckets is a power of two.
+    return (F.xxhash64(*words).bitwiseAND(F.lit(BUCKETS // 2 - 1)) + F.lit((n - 1) * BUCKETS // 2)).cast("int")
 
 
 def _buckets(words: Column) -> Column:
-    """Buckets of the character n-grams at the words' starts, ends and meeting points."""
-    return F.concat(F.transform(words, _at_start), F.transform(words, _at_end), _neighbours(words, 2, _meeting))
+    """Buckets of the words and of the pairs of neighbours."""
+    return F.concat(F.transform(words, lambda word: _bucket(1, word)),
+                    _neighbours(words, 2, lambda *pair: _bucket(2, *pair)))
 
 
 def _bucket_rows(words: DataFrame) -> DataFrame:
@@ -83,7 +75,7 @@ def _bucket_rows(words: DataFrame) -> DataFrame:
     each = (words.select("target", "words", following.alias("following"))
             .select("target", F.explode(F.arrays_zip("words", "following")).alias("at")))
     word, after = F.col("at.words"), F.col("at.following")
-    found = F.array(_at_start(word), _at_end(word), F.when(after.isNotNull(), _meeting(word, after)))
+    found = F.array(_bucket(1, word), F.when(after.isNotNull(), _bucket(2, word, after)))
     return each.select("target", F.explode(found).alias("bucket")).where(F.col("bucket").isNotNull())
 
 
@@ -114,22 +106,23 @@ def _repeat_words(words: Column) -> Column:
     return _let(_neighbours(words, 3, lambda *w: F.xxhash64(*w)), count)
 
 
-def target_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
-    """(doc_id, target) of a bounded number of documents labelled good."""
-    return (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumn("target", F.lit(1)))
+def target_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents labelled good, once each."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, rows: int = TARGET_ROWS) -> list[int]:
+def log_ratios(docs: DataFrame, labels: DataFrame) -> list[int]:
     """The log ratio of target to corpus of every bucket, in thousandths.
 
-    All documents are counted. The target's ids are broadcast (at most ``rows``), the counts
-    are combined per task and come down to one row per bucket.
+    All documents are counted, and those labelled good once more as target; Spark chooses the
+    semi join by the labels' size. Counts are combined per task and come down to one row per bucket.
     """
-    parts = (docs.select("doc_id", "text").join(F.broadcast(target_ids(labels, rows)), "doc_id", "left")
-             .select("target", words_of(F.col("text")).alias("words")))
-    counted = (_bucket_rows(parts).groupBy("bucket").agg(F.count("*").alias("corpus"), F.count("target").alias("target"))
-               .collect())
+    texts = docs.select("doc_id", "text")
+    good = texts.join(target_ids(labels), "doc_id", "left_semi")
+    words = words_of(F.col("text")).alias("words")
+    parts = texts.select(F.lit(0).alias("target"), words).unionByName(good.select(F.lit(1).alias("target"), words))
+    counted = (_bucket_rows(parts).groupBy("bucket")
+               .agg(F.sum("target").alias("target"), F.sum(1 - F.col("target")).alias("corpus")).collect())
     corpus, target = sum(row["corpus"] for row in counted), sum(row["target"] for row in counted)
     out = [0] * BUCKETS
     if not target:

@@ -52,10 +52,36 @@ def test_rules(spark):
     assert rules.decided(docs.limit(0), labels).collect() == []
 
 
-def test_log_ratio_is_the_definition(spark):
-    docs = spark.createDataFrame([(1, "aa"), (2, "bb")], "doc_id long, text string")
-    ratios = rules.log_ratios(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
-    assert sorted(x > 0 for x in ratios if x) == [False, False, True, True]
+def test_log_ratios_and_scores_equal_plain_counts(spark):
+    pick = random.Random(4)
+    parts = ["ab", "abcXYZabc", "abc99999abc", "é", "x" * 40, "the", "of", "%%%"]
+    rows = [(i, " ".join(pick.choice(parts) for _ in range(pick.randint(0, 70)))) for i in range(120)]
+    rows += [(None, "the of"), (500, None), (3, rows[3][1]), (501, "the inside of words counts " * 20_000)]
+    good = [0, 1, 2, 3, 3, 40, 501, 9999]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(3, 0), (5, 0), (None, 1), (6, None)],
+                                   "doc_id long, quality int")
+    grams = [WORD.findall(text or "") for _, text in rows]
+    grams = [[(w,) for w in words] + list(zip(words, words[1:])) for words in grams]
+    kinds = sorted({g for found in grams for g in found})
+    table = spark.createDataFrame([(g[0], g[1] if len(g) > 1 else None) for g in kinds], "a string, b string")
+    places = table.select("a", "b", rules.F.when(rules.F.col("b").isNull(), rules._bucket(1, rules.F.col("a")))
+                          .otherwise(rules._bucket(2, rules.F.col("a"), rules.F.col("b"))).alias("bucket")).collect()
+    bucket = {(r.a,) if r.b is None else (r.a, r.b): r.bucket for r in places}
+    assert len(set(bucket.values())) == len(kinds)
+    corpus = Counter(bucket[g] for found in grams for g in found)
+    target = Counter(bucket[g] for (i, _), found in zip(rows, grams) if i in good for g in found)
+    share = sum(target.values()) / sum(corpus.values())
+    wanted = {at: round(rules.UNIT * math.log((target[at] + rules.PRIOR) / (n * share + rules.PRIOR)))
+              for at, n in corpus.items()}
+    ratios = rules.log_ratios(docs, labels)
+    assert {at: x for at, x in enumerate(ratios) if x} == {at: x for at, x in wanted.items() if x}
+    scores = sorted(sum(wanted[bucket[g]] for g in found) / rules.UNIT / max(len(found), 1) for found in grams)
+    rows = rules.decided(docs, labels).collect()
+    assert sorted(r.score for r in rows) == pytest.approx(scores, abs=1e-9)
+    assert all(r.kept == (not r.base_failed and r.score >= rules.THRESHOLD) for r in rows)
+    tie = next(r.score for r in rows if not r.base_failed)
+    assert all(r.kept for r in rules.decided(docs, labels, tie).collect() if r.score == tie and not r.base_failed)
 
 
 def _plain_secrets(text):
