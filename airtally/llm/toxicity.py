@@ -6,8 +6,8 @@ is computed; n-grams whose counts do not differ clearly between the classes get
 Logistic regression is then trained on the features ``r * presence``. Scoring adds up
 the weights of the n-grams a text holds.
 
-Cases: a null or empty text scores as a text without n-grams (the intercept); repeated rows
-each get a row; a null id gets a score and is not held out; without labelled rows of both
+Cases: a null or empty text scores as a text without n-grams (the intercept); a text of any
+length is read whole, in pieces; a score of exactly 0.5 predicts 1; repeated rows each get a row; a null id gets a score and is not held out; without labelled rows of both
 classes every score is the share of toxic labels (0.5 without any). Other input columns are
 not read, so clashing names cannot matter.
 """
@@ -35,10 +35,15 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 
 
 def hashed(text: str) -> Iterator[np.ndarray]:
-    """Feature numbers of a text's n-grams, repeats included, in arrays of bounded size."""
-    for at in range(0, max(len(text), 1), common.PIECE):
-        piece = text[max(0, at - LENGTHS[-1] + 1):at + common.PIECE].lower()
-        codes = np.frombuffer(f" {piece} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    """Feature numbers of a text's n-grams, repeats included, in arrays of bounded size.
+
+    The lower-cased text has a blank at each end. Pieces overlap, so the n-grams over their edges
+    are those of the whole text; shorter ones in the overlap come twice.
+    """
+    text = f" {text.lower()} "
+    for at in range(0, len(text), common.PIECE):
+        piece = text[max(0, at - LENGTHS[-1] + 1):at + common.PIECE]
+        codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
         total = codes * _MULTIPLIERS[0]
         for k in range(1, LENGTHS[-1]):
             if len(codes) <= k:
