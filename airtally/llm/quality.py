@@ -9,13 +9,15 @@ scoring is the mean of one number per n-gram: exactly the model's output.
 A pair hashes as the exclusive or of its words, so a word next to itself always meets one
 bucket and repetition can be learned.
 
-Cases: a null or empty text has no n-gram and scores by the intercept; repeated rows each get
+Cases: a null or empty text has no n-gram and scores by the intercept; a text of any length is
+read whole, in pieces cut between words; a score of exactly 0.3 predicts 1; repeated rows each get
 a row; a null id gets a score and is not held out; without labelled rows of both classes every
 score is the share of good labels (0.5 without any). Other input columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,25 +32,52 @@ WIDTH = 12
 GRAMS = (3, 4)
 #: Training rows of each class at most.
 PER_CLASS = 3000
+_BLANKS = " \t\n\v\f\r"
 
 
-def buckets(text: str) -> np.ndarray:
-    """Bucket of every n-gram of a text, repeats included. Words are bound by ASCII white space."""
-    data = np.frombuffer(text.encode("utf-8"), np.uint8)
-    out = []
-    if len(data):
+def _cuts(text: str) -> Iterator[str]:
+    """The text in pieces that end after white space, or with the text.
+
+    A piece without white space grows by the next one, so that no word is cut.
+    """
+    held = ""
+    for at in range(0, len(text), common.PIECE):
+        held += text[at:at + common.PIECE]
+        if at + common.PIECE >= len(text):
+            yield held
+        elif end := max(held.rfind(blank) for blank in _BLANKS) + 1:
+            yield held[:end]
+            held = held[end:]
+
+
+def hashed(text: str) -> Iterator[np.ndarray]:
+    """Bucket of every n-gram of a text, repeats included, in arrays of bounded size.
+
+    Words are bound by ASCII white space. The last word and the last bytes of a piece go with the
+    next one, so the n-grams are those of the whole text.
+    """
+    word, tail = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    for piece in _cuts(text):
+        data = np.frombuffer(piece.encode("utf-8"), np.uint8)
         hashes = words.word_hashes(data)
-        out += [words.mixed(hashes), words.mixed((hashes[1:] ^ hashes[:-1]) + np.uint64(1))]
-        wide = data.astype(np.uint64) + np.uint64(1)
+        chain = np.concatenate([word, hashes])
+        out = [words.mixed(hashes), words.mixed((chain[1:] ^ chain[:-1]) + np.uint64(1))]
+        wide = np.concatenate([tail, data.astype(np.uint64) + np.uint64(1)])
         for n in GRAMS:
-            if len(wide) >= n:
-                total = np.zeros(len(wide) - n + 1, np.uint64)
+            # Runs that lie in the tail alone came with the piece before.
+            run = wide[max(len(tail) - n + 1, 0):]
+            if len(run) >= n:
+                total = np.zeros(len(run) - n + 1, np.uint64)
                 for k in range(n):
-                    total = (total << np.uint64(9)) | wide[k:len(wide) - n + 1 + k]
+                    total = (total << np.uint64(9)) | run[k:len(run) - n + 1 + k]
                 out.append(words.mixed(total + np.uint64(n << 60)))
-    if not out:
-        return np.zeros(0, np.int64)
-    return (np.concatenate(out) >> np.uint64(64 - BITS)).astype(np.int64)
+        word, tail = chain[-1:], wide[-(GRAMS[-1] - 1):]
+        yield (np.concatenate(out) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def buckets(text: str) -> np.ndarray:
+    """Bucket of every n-gram of a text, repeats included."""
+    return np.concatenate([np.zeros(0, np.int64), *hashed(text)])
 
 
 @dataclass(frozen=True)
@@ -60,8 +89,7 @@ class Model:
 
     def score(self, text: str) -> float:
         total, count = 0.0, 0
-        for at in range(0, len(text), common.PIECE):
-            found = buckets(text[at:at + common.PIECE])
+        for found in hashed(text):
             total, count = total + float(self.logits[found].sum(dtype=np.float64)), count + len(found)
         return common.sigmoid(self.bias + total / max(count, 1))
 

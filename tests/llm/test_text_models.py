@@ -83,16 +83,89 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identify(docs.withColumn("lang", docs["lang"].substr(100, 1)).where("false")).collect()} == set()
 
 
-def test_bundle_is_the_sum_of_bound_letters():
-    letters = np.random.default_rng(3).choice(np.array([-1, 1], np.int8), (language.CLASSES, language.DIMENSIONS))
-    wanted = sum(np.roll(letters[a], 2).astype(int) * np.roll(letters[b], 1) * letters[c]
-                 for a, b, c in zip([0, 1, 2], [1, 2, 3], [2, 3, 0]))
-    assert np.array_equal(language.bundle(language.trigrams("  aBc!")), wanted)
-
-
-def test_long_text_is_read_whole(monkeypatch):
-    text = "ab cd é" * 50
-    whole = language.trigrams(text), quality.buckets("x"), toxicity.ngrams(text)
-    monkeypatch.setattr(language.common, "PIECE", 11)
-    assert np.array_equal(language.trigrams(text), whole[0])
-    assert set(whole[2]) <= set(toxicity.ngrams(text))
+def _same(one, other):
+    return one is other is None or all(np.array_equal(a, b) for a, b in zip(one, other, strict=True))
+
+
+def _bundle_plain(text):
+    """Bound letter vectors added up by the definition, one trigram at a time."""
+    letters = [c.lower()[0] if c.isalpha() else "" for c in f" {text} "]
+    letters = [c for i, c in enumerate(letters) if c or i == 0 or letters[i - 1]]
+    vectors = [language.letter_vector(ord(c) if c else 0).astype(int) for c in letters]
+    return sum((np.roll(a, 2) * np.roll(b, 1) * c for a, b, c in zip(vectors, vectors[1:], vectors[2:])),
+               np.zeros(language.DIMENSIONS, int))
+
+
+@pytest.mark.parametrize("known", [1 << 15, 3])
+def test_bundle_is_the_sum_of_bound_letters(monkeypatch, known):
+    monkeypatch.setattr(language, "_KNOWN", known)
+    monkeypatch.setattr(language, "_BOUND", 5)
+    language._vectors.cache_clear()
+    for text in ["  aBc!", "a", "вода и ВОДА", "ñandú 水曜日 θάλασσα ם", "kato neka " * 30, "x1y2z3"]:
+        assert np.array_equal(language.bundle(language.trigrams(text)), _bundle_plain(text))
+    language._vectors.cache_clear()
+    assert language.trigrams("12 !") is None
+    codes = [ord(c) for c in "вβاеñбтθם"]
+    assert len({language.letter_vector(c).tobytes() for c in codes}) == len(codes)
+
+
+def test_cosines_equal_plain_sums(spark):
+    texts = {"ru": "вода течёт в реке", "el": "το νερό τρέχει", "he": "המים זורמים בנהר", "es": "el agua corre por el río"}
+    rows = [(i, " ".join(texts[lang].split()[k % 3:]) + " " + texts[lang], lang)
+            for i, (lang, k) in enumerate([(lang, k) for k in range(8) for lang in texts])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in language.identify(docs).collect()}
+    learned = {lang: sum(_bundle_plain(t) for i, t, l in rows if l == lang and zlib.crc32(str(i).encode()) % 4 != 2)
+               for lang in texts}
+    for i, text, lang in rows:
+        one = _bundle_plain(text)
+        near = {name: one @ v / np.linalg.norm(one) / np.linalg.norm(v) for name, v in learned.items()}
+        assert found[i].lang_pred == max(sorted(near), key=near.get) == lang
+        assert found[i].score == pytest.approx(near[lang], abs=1e-5)
+
+
+def _hashed_plain(codes, n, bits):
+    """Feature number of each n-gram of code points by the definition, in whole numbers."""
+    m, wrap = [int(x) for x in toxicity._MULTIPLIERS], (1 << 64) - 1
+    out = []
+    for i in range(len(codes) - n + 1):
+        total = sum(c * m[k] for k, c in enumerate(codes[i:i + n])) & wrap
+        out.append((((total ^ (total >> 29)) * m[4]) & wrap) >> (64 - bits))
+    return out
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 11, 1])
+def test_toxicity_equals_plain_definition(monkeypatch, piece):
+    docs, labels = _rows(80)
+    truth = np.array([t for _, _, t in labels])
+    model = toxicity.fit([text for _, text in docs], truth)
+    monkeypatch.setattr(toxicity.common, "PIECE", piece)
+    for text in [docs[0][1], docs[5][1], "", "a", "Ab İΣ ς idiot" * 7]:
+        codes = [ord(c) for c in f" {text.lower()} "]
+        found = {x for n in toxicity.LENGTHS for x in _hashed_plain(codes, n, toxicity.BITS)}
+        assert found == set(toxicity.ngrams(text).tolist())
+        wanted = 1 / (1 + np.exp(-(model.bias + sum(model.weights[x] for x in sorted(found)))))
+        assert model.score(text) == pytest.approx(wanted)
+
+
+def test_toxicity_ratios_equal_plain_counts():
+    docs, labels = _rows(60)
+    features, truth = [toxicity.ngrams(text) for _, text in docs], np.array([t for _, _, t in labels])
+    found = toxicity.ratios(features, truth)
+    for x in sorted({int(x) for f in features for x in f}):
+        inside = [sum(x in f for f, y in zip(map(set, features), truth) if y == c) for c in (0, 1)]
+        n, share = sum(inside), truth.mean()
+        clear = abs(inside[1] - n * share) >= toxicity.CLEAR * np.sqrt(n * share * (1 - share))
+        rates = [(1 + inside[c]) / (1 + (truth == c).sum()) for c in (0, 1)]
+        assert found[x] == pytest.approx(np.log(rates[1] / rates[0]) if clear else 0.0)
+
+
+@pytest.mark.parametrize("piece", [11, 3, 1])
+def test_long_text_is_read_whole(monkeypatch, piece):
+    texts = ["ab cd é" * 50, "word" * 30, "a\tb\n c  ", "x " + "y" * 40 + " é🙂 z", "", " "]
+    whole = [(language.trigrams(text), np.sort(quality.buckets(text)), toxicity.ngrams(text)) for text in texts]
+    monkeypatch.setattr(language.common, "PIECE", piece)
+    for text, (letters, grams, features) in zip(texts, whole):
+        assert _same(language.trigrams(text), letters)
+        assert np.array_equal(np.sort(quality.buckets(text)), grams)
+        assert np.array_equal(toxicity.ngrams(text), features)
