@@ -12,9 +12,13 @@ from airtally.operators.skew import HOT_ROWS, hot_keys, salted_join
 from airtally.session import written
 
 
-def show_views(sessions: DataFrame, shows: DataFrame, method: str = "cells") -> DataFrame:
-    """The part of every session that fell into a show of its channel."""
-    pairs = interval_overlap(sessions, shows, "channel_id", method=method)
+def show_views(sessions: DataFrame, shows: DataFrame, method: str = "cells",
+               hot_rows: int | None = None) -> DataFrame:
+    """The part of every session that fell into a show of its channel.
+
+    ``hot_rows`` spreads cells with more sessions than that, after counting them.
+    """
+    pairs = interval_overlap(sessions, shows, "channel_id", method=method, hot_rows=hot_rows)
     return pairs.select(
         F.col("b_program_id").alias("program_id"), F.col("b_program").alias("program"),
         F.col("b_channel_id").alias("channel_id"), F.col("b_channel").alias("channel"),
@@ -22,13 +26,22 @@ def show_views(sessions: DataFrame, shows: DataFrame, method: str = "cells") ->
         "start_ts", "end_ts")
 
 
-def ad_views(ads: DataFrame, sessions: DataFrame, how: str = "inner",
-             method: str = "cells") -> DataFrame:
-    """The part of every session that fell into an ad; ``left_outer`` keeps unseen ads."""
-    pairs = interval_overlap(ads, sessions, "channel_id", how=how, method=method)
+def ad_views(ads: DataFrame, sessions: DataFrame, how: str = "inner", method: str = "cells",
+             hot_rows: int | None = None) -> DataFrame:
+    """The part of every session that fell into an ad; ``left_outer`` keeps unseen ads.
+
+    ``hot_rows`` as in ``show_views``. Sessions are many and ads few, so an inner join has the
+    sessions on the side that is spread.
+    """
+    if how == "inner":
+        ad, session = "b_", "a_"
+        pairs = interval_overlap(sessions, ads, "channel_id", method=method, hot_rows=hot_rows)
+    else:
+        ad, session = "a_", "b_"
+        pairs = interval_overlap(ads, sessions, "channel_id", how=how, method=method, hot_rows=hot_rows)
     return pairs.select(
-        F.col("a_ad_id").alias("ad_id"), F.col("a_channel_id").alias("channel_id"),
-        F.col("b_user_id").alias("user_id"), F.col("b_device_id").alias("device_id"),
+        F.col(f"{ad}ad_id").alias("ad_id"), F.col(f"{ad}channel_id").alias("channel_id"),
+        F.col(f"{session}user_id").alias("user_id"), F.col(f"{session}device_id").alias("device_id"),
         "start_ts", "end_ts")
 
 
@@ -45,11 +58,12 @@ def with_demographics(views: DataFrame, users: DataFrame, hot: DataFrame | None
 
 
 def with_locations(views: DataFrame, locations: DataFrame, how: str = "left_outer",
-                   method: str = "cells") -> DataFrame:
+                   method: str = "cells", hot_rows: int | None = None) -> DataFrame:
     """Add the device's positions during the view; ``device_id`` is the one of the
-    position, so it is null where there was none, and ``view_device_id`` stays."""
+    position, so it is null where there was none, and ``view_device_id`` stays.
+    ``hot_rows`` spreads cells with more views than that, after counting them."""
     points = locations.select("device_id", "kdts", "lon", "lat", "visibility")
-    return point_in_interval(views, points, "device_id", how=how, method=method)
+    return point_in_interval(views, points, "device_id", how=how, method=method, hot_rows=hot_rows)
 
 
 def average_location(located: DataFrame, view_columns: list[str]) -> DataFrame:
@@ -60,21 +74,23 @@ def average_location(located: DataFrame, view_columns: list[str]) -> DataFrame:
 
 
 def show_watch_full(sessions: DataFrame, shows: DataFrame, users: DataFrame,
-                    locations: DataFrame, hot_users: DataFrame | None = None) -> DataFrame:
+                    locations: DataFrame, hot_users: DataFrame | None = None,
+                    hot_rows: int | None = None) -> DataFrame:
     """Sessions x shows, with viewer and position.
 
-    The location join reads the views more than once, so they are written first.
+    ``hot_rows`` spreads crowded cells in both interval joins. The location join reads the views more than once, so they are written first.
     ``sessions`` and ``shows`` should be tables for the same reason.
     """
-    views = with_demographics(show_views(sessions, shows), users, hot_users)
-    return with_locations(written(views, "show-views"), locations)
+    views = with_demographics(show_views(sessions, shows, hot_rows=hot_rows), users, hot_users)
+    return with_locations(written(views, "show-views"), locations, hot_rows=hot_rows)
 
 
 def ad_view_full(ads: DataFrame, sessions: DataFrame, users: DataFrame,
-                 locations: DataFrame, hot_users: DataFrame | None = None) -> DataFrame:
+                 locations: DataFrame, hot_users: DataFrame | None = None,
+                 hot_rows: int | None = None) -> DataFrame:
     """Ads x sessions, with viewer and position; see ``show_watch_full``."""
-    views = with_demographics(ad_views(ads, sessions), users, hot_users)
-    return with_locations(written(views, "ad-views"), locations)
+    views = with_demographics(ad_views(ads, sessions, hot_rows=hot_rows), users, hot_users)
+    return with_locations(written(views, "ad-views"), locations, hot_rows=hot_rows)
 
 
 def event_customer_join(events: DataFrame, customers: DataFrame, rows: int = HOT_ROWS) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from airtally.operators import enrich, schedule, sessions
 from airtally.operators.dashboards import count_by
 from airtally.operators.intervals import interval_overlap
+from airtally.operators.skew import HOT_ROWS
 from airtally.plans.registry import query
 from airtally.plans.views import Views
 from airtally.session import written
@@ -90,6 +91,21 @@ def show_watch_overlap_plain(v: Views):
     return enrich.show_views(v.sessions_table(), v.shows_table(), method="plain")
 
 
+@query("show_watch_crowded", ["sessions", "shows"], """
+SELECT sh.program_id, sh.program, sh.channel_id, sh.channel, s.user_id, s.device_id,
+       greatest(s.start_ts, sh.start_ts) AS start_ts,
+       least(s.end_ts, sh.end_ts) AS end_ts
+FROM (SELECT * REPLACE (CASE WHEN channel_id % 3 = 0 THEN 0 ELSE channel_id END AS channel_id) FROM sessions) s
+JOIN (SELECT * REPLACE (CASE WHEN channel_id % 3 = 0 THEN 0 ELSE channel_id END AS channel_id) FROM shows) sh
+  ON s.channel_id = sh.channel_id AND s.start_ts <= sh.end_ts AND s.end_ts >= sh.start_ts""")
+def show_watch_crowded(v: Views):
+    """Views where a third of all channels share one number; cells above 50,000 sessions are spread."""
+    shared = F.when(F.col("channel_id") % 3 == 0, F.lit(0)).otherwise(F.col("channel_id"))
+    crowd = [df.withColumn("channel_id", shared.cast(df.schema["channel_id"].dataType))
+             for df in (v.sessions_table(), v.shows_table())]
+    return enrich.show_views(*crowd, hot_rows=50_000)
+
+
 @query("show_unwatched", ["sessions", "shows"], """
 SELECT channel_id, program_id, program, start_ts, end_ts FROM shows sh
 WHERE NOT EXISTS (SELECT 1 FROM sessions s WHERE s.channel_id = sh.channel_id
@@ -178,7 +194,8 @@ FROM show_people v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
 def show_watch_full(v: Views):
     """Flagship: who watched which show, when, where, and who they are."""
-    return enrich.show_watch_full(v.sessions_table(), v.shows_table(), v.users(), v.locations(), v.hot_users())
+    return enrich.show_watch_full(v.sessions_table(), v.shows_table(), v.users(), v.locations(), v.hot_users(),
+                                  HOT_ROWS)
 
 
 @query("ad_view_full", ["ad_people", "locations"], f"""
@@ -187,7 +204,7 @@ SELECT v.ad_id, v.channel_id, v.user_id, v.name, v.age, v.gender,
 FROM ad_people v LEFT JOIN locations l
   ON v.device_id = l.device_id AND v.start_ts <= l.kdts AND v.end_ts >= l.kdts""")
 def ad_view_full(v: Views):
-    return enrich.ad_view_full(ads(v), v.sessions_table(), v.users(), v.locations(), v.hot_users())
+    return enrich.ad_view_full(ads(v), v.sessions_table(), v.users(), v.locations(), v.hot_users(), HOT_ROWS)
 
 
 @query("event_customer_join", ["ev", "customers"], """

@@ -8,9 +8,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from samples import SALARIES, rows
+from samples import SALARIES, ads, channels, locations, rows, sessions, users
 
-from airtally.operators.intervals import OVERLAP, POINTS, Grid, interval_overlap, point_in_interval
+from airtally.operators import enrich, schedule
+from airtally.operators.intervals import (OVERLAP, POINTS, Grid, _entries, _spans, interval_overlap,
+                                          point_in_interval)
 from airtally.operators.ranking import ranked
 from airtally.operators.sessions import device_sessions, type_spans, user_activity
 from airtally.operators.skew import cut_groups, hot_keys, lead_rows, salted_join
@@ -64,6 +66,32 @@ def test_points_by_cells_equal_plain(spark, intervals, how, grid, hot_rows):
     assert rows(got) == want
 
 
+def test_long_intervals_do_not_share_one_cell(spark):
+    """Intervals of years are spread over the widest cells, on either side, once a pair."""
+    start = F.timestamp_seconds(F.lit(946_684_800) + F.col("id") * 86_400 * 9)
+    long = spark.range(800).select("id", F.lit(1).alias("key"), start.alias("start_ts"),
+                                   (start + F.expr("INTERVAL 5 YEARS")).alias("end_ts"))
+    entries = _entries(_spans(long, "key", "start_ts", "end_ts", OVERLAP), [], OVERLAP)
+    cells = [r["count"] for r in entries.groupBy("key", "level", "cell").count().collect()]
+    assert sum(cells) <= 3 * 800 and max(cells) < 400
+    short = spark.range(300).select("id", F.lit(1).alias("key"), start.alias("start_ts"),
+                                    (start + F.expr("INTERVAL 1 HOUR")).alias("end_ts"))
+    for a, b in ((long, short), (short, long), (long, long)):
+        assert rows(interval_overlap(a, b, "key", hot_rows=100), "a_id", "b_id") \
+            == rows(interval_overlap(a, b, "key", method="plain"), "a_id", "b_id")
+
+
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_full_pipelines_with_crowded_cells(spark, hot_rows):
+    shows, watched = schedule.shows_of(channels(spark)), sessions(spark)
+    got = rows(enrich.show_watch_full(watched, shows, users(spark), locations(spark), hot_rows=hot_rows))
+    views = enrich.with_demographics(enrich.show_views(watched, shows, "plain"), users(spark))
+    assert got == rows(enrich.with_locations(views, locations(spark), method="plain"))
+    got = rows(enrich.ad_view_full(ads(spark), watched, users(spark), locations(spark), hot_rows=hot_rows))
+    views = enrich.with_demographics(enrich.ad_views(ads(spark), watched, method="plain"), users(spark))
+    assert got == rows(enrich.with_locations(views, locations(spark), method="plain"))
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows on one key, some at the same instant, some without a time."""
