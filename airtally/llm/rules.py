@@ -22,9 +22,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 16
+#: Bitmaps of 4 KB with the target's ids that are broadcast at most (64 MB).
+MOST_MAPS = 1 << 14
 #: Mean log ratio (in nats per n-gram) below which a document is rejected. A word that only an
 #: unlabelled document holds has log(PRIOR / (PRIOR + share)): with up to half of the corpus in the
 #: target, such words alone reject nothing.
@@ -111,18 +114,39 @@ def target_ids(labels: DataFrame) -> DataFrame:
     return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
+def _marked(texts: DataFrame, labels: DataFrame, most_maps: int = MOST_MAPS) -> DataFrame:
+    """The texts with ``target``: 1 for documents labelled good, 0 for others.
+
+    Whole-number ids fit into bitmaps of 4 KB for 32,768 ids. Their number is counted, and up to
+    ``most_maps`` are broadcast, so that no text is shuffled; beyond, or with other ids, the texts are
+    joined with the ids by whatever join Spark chooses.
+    """
+    ids, at = target_ids(labels), F.col("doc_id")
+    if all(isinstance(df.schema["doc_id"].dataType, (T.LongType, T.IntegerType)) for df in (texts, ids)):
+        block = F.bitmap_bucket_number(at.cast("long"))
+        if ids.select(block.alias("block")).distinct().count() <= most_maps:
+            place = F.bitmap_bit_position(at.cast("long"))
+            maps = ids.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits"))
+            byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+            bit = F.getbit(byte.cast("int"), (place % 8).cast("int")).cast("int")
+            return texts.join(F.broadcast(maps), block == F.col("block"), "left").select(
+                F.coalesce(bit, F.lit(0)).alias("target"), "text")
+    good = ids.withColumn("target", F.lit(1))
+    # Null ids join nothing, so they stay out of the join and off a single key.
+    known = texts.where(at.isNotNull()).join(good, "doc_id", "left")
+    return known.select(F.coalesce("target", F.lit(0)).alias("target"), "text").unionByName(
+        texts.where(at.isNull()).select(F.lit(0).alias("target"), "text"))
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[int]:
     """The log ratio of target to corpus of every bucket, in thousandths.
 
-    All documents are counted, and those labelled good once more as target; Spark chooses the
-    semi join by the labels' size. Counts are combined per task and come down to one row per bucket.
+    All documents are counted, with those labelled good as target; counts are combined per task and
+    come down to one row per bucket.
     """
-    texts = docs.select("doc_id", "text")
-    good = texts.join(target_ids(labels), "doc_id", "left_semi")
-    words = words_of(F.col("text")).alias("words")
-    parts = texts.select(F.lit(0).alias("target"), words).unionByName(good.select(F.lit(1).alias("target"), words))
+    parts = _marked(docs.select("doc_id", "text"), labels).select("target", words_of(F.col("text")).alias("words"))
     counted = (_bucket_rows(parts).groupBy("bucket")
-               .agg(F.sum("target").alias("target"), F.sum(1 - F.col("target")).alias("corpus")).collect())
+               .agg(F.count("*").alias("corpus"), F.sum("target").alias("target")).collect())
     corpus, target = sum(row["corpus"] for row in counted), sum(row["target"] for row in counted)
     out = [0] * BUCKETS
     if not target:

@@ -84,6 +84,17 @@ def test_log_ratios_and_scores_equal_plain_counts(spark):
     assert all(r.kept for r in rules.decided(docs, labels, tie).collect() if r.score == tie and not r.base_failed)
 
 
+@pytest.mark.parametrize("kind, most", [("long", 10), ("int", 10), ("long", 0), ("string", 10)])
+def test_marked_texts_are_those_labelled_good(spark, kind, most):
+    ids = [0, 1, 7, 8, 9, 32767, 32768, 32769, 65536, 65537, -1, -7, -8, -32768, 2 ** 31 - 1, None, None, 9]
+    good = [0, 8, 9, 9, 32768, 65537, -7, 2 ** 31 - 1, None, 77]
+    docs = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(1, 0)], "doc_id long, quality int")
+    docs, labels = (df.withColumn("doc_id", df["doc_id"].cast(kind)) for df in (docs, labels))
+    found = rules._marked(docs, labels, most).collect()
+    assert sorted((r.text, r.target) for r in found) == sorted((str(i), int(i is not None and i in good)) for i in ids)
+
+
 def _plain_secrets(text):
     out = [(m.start(), 0, m.end()) for m in re.finditer(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A)
