@@ -1,7 +1,8 @@
 """Keyed state on streams: device sessions, user activity, spans per event type.
 
-Each processor sees the rows of one key in one micro-batch. Rows are taken in time
-order within the batch. A key that goes quiet is closed by a timer: on the clock
+Each processor sees the rows of one key in one micro-batch as pandas frames and takes
+them in time order, with array operations. What it keeps of a key has a fixed size: an
+open session, or a counter and a day. A key that goes quiet is closed by a timer: on the clock
 of the workers (``PROCESSING``), or on event time when the stream has a watermark
 (``EVENT``). ``NEVER`` sets no timer. A query on the clock always has another batch
 to wait for, so it does not end by itself under an ``availableNow`` trigger.
@@ -11,7 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -23,10 +26,21 @@ PROCESSING, EVENT, NEVER = "ProcessingTime", "EventTime", "None"
 # Marks of a closed activity, and idle times in milliseconds.
 CLOSED_ACTIVITY, CLOSED_SPANS = 500, 999
 SESSION_IDLE, ACTIVITY_IDLE = 90_000, 30_000
+# Stands for a null number, as a column with nulls would come to pandas as doubles.
+NOTHING = -(1 << 63)
 
 
-def _session(key, opened, end: int) -> Row:
-    return Row(user_id=key[0], device_id=key[1], channel_id=opened[0], start=opened[1], end=end)
+def _sorted(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
+    """The rows of a key in one micro-batch that have a time, in order."""
+    whole = pd.concat(rows, ignore_index=True)
+    whole = whole[whole["at"] != NOTHING]
+    return whole.iloc[np.lexsort([whole[c].to_numpy() for c in reversed(order)])]
+
+
+def _frame(key, names: tuple[str, ...], **columns) -> pd.DataFrame:
+    """Result rows of one key."""
+    rows = len(next(iter(columns.values())))
+    return pd.DataFrame({**{name: [part] * rows for name, part in zip(names, key)}, **columns})
 
 
 class _Idle(StatefulProcessor):
@@ -68,33 +82,41 @@ class SessionState(_Idle):
         self.open = handle.getValueState(
             "open", T.StructType().add("channel_id", T.LongType()).add("start", T.LongType()))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        opened = self.open.get() if self.open.exists() else None
-        known = [(r.at, r.tie, r.action, r.channel_id) for r in rows
-                 if r.at is not None and r.action in (START, STOP, SWITCH)]
-        for at, _, action, channel in sorted(known):
-            # On event time a pause ends the session even where no timer ran between two rows of a batch.
-            if self.clock == EVENT and opened is not None and at - opened[1] > self.idle_ms * 1000:
-                yield _session(key, opened, 0)
-                opened = None
-            if action in (STOP, SWITCH) and opened is not None:
-                yield _session(key, opened, at)
-                opened = None
-            if action in (START, SWITCH):
-                opened = (channel, at)
-        if opened is None:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = _sorted(rows, "at", "tie", "action", "channel")
+        known = known[known["action"].isin((START, STOP, SWITCH))]
+        at, action, channel = (known[c].to_numpy() for c in ("at", "action", "channel"))
+        if self.open.exists():
+            # What is open counts as a start before all rows.
+            before = self.open.get()
+            at = np.concatenate(([before[1]], at))
+            action = np.concatenate(([START], action))
+            channel = np.concatenate(([NOTHING if before[0] is None else before[0]], channel))
+        opens = np.isin(action, (START, SWITCH))
+        # A session lies between neighbours: it ends with the next action, unless that only starts anew.
+        # On event time a pause ends it even where no timer ran between two rows of a batch.
+        idle = at[1:] - at[:-1] > self.idle_ms * 1000 if self.clock == EVENT else np.zeros(max(len(at) - 1, 0), bool)
+        ended = opens[:-1] & (idle | np.isin(action[1:], (STOP, SWITCH)))
+        if ended.any():
+            yield self._sessions(key, channel[:-1][ended], at[:-1][ended], np.where(idle, 0, at[1:])[ended])
+        if len(at) and opens[-1]:
+            self.open.update((None if channel[-1] == NOTHING else int(channel[-1]), int(at[-1])))
+            self._renew(timerValues, int(at[-1]))
+        else:
             self.open.clear()
             self._cancel()
-        else:
-            self.open.update(tuple(opened))
-            self._renew(timerValues, opened[1])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         if self.open.exists():
-            opened = self.open.get()
+            channel, start = self.open.get()
             self.open.clear()
-            yield _session(key, opened, 0)
+            yield self._sessions(key, np.array([NOTHING if channel is None else channel]), np.array([start]), np.array([0]))
+
+    @staticmethod
+    def _sessions(key, channel: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+        return _frame(key, ("user_id", "device_id"), start=start, end=end,
+                      channel_id=pd.arrays.IntegerArray(channel.astype(np.int64), channel == NOTHING))
 
 
 class PartState(StatefulProcessor):
@@ -160,89 +182,76 @@ class PartState(StatefulProcessor):
 
 
 class ActivityState(_Idle):
-    """Type numbers of a user, a list per calendar day, with the day's latest opening and closing time."""
+    """Type numbers that a micro-batch adds to a user's days, in parts numbered as they come."""
 
     DAY = 86_400_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        day = T.StructType().add("day", T.IntegerType())
-        self.days = handle.getMapState("days", day, T.StructType().add("types", T.ArrayType(T.IntegerType()))
-                                       .add("start", T.LongType()).add("end", T.LongType()))
+        self.sent = handle.getValueState("sent", T.StructType().add("parts", T.LongType()).add("day", T.LongType()))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        fresh: dict[int, list] = {}
-        newest = None
-        for at, _, number in sorted((r.at, r.tie, r.number) for r in rows
-                                    if r.at is not None and r.number is not None):
-            newest = at
-            day = at // self.DAY
-            if day not in fresh:
-                known = self.days.getValue((day,)) if self.days.containsKey((day,)) else ([], 0, 0)
-                fresh[day] = [list(known[0]), known[1], known[2]]
-            fresh[day][0].append(number)
-            if number < START_BELOW:
-                fresh[day][1] = max(fresh[day][1], at)
-            elif number >= END_FROM:
-                fresh[day][2] = max(fresh[day][2], at)
-        self._renew(timerValues, newest)
-        # Only the days that changed are sent again.
-        for day, (types, start, end) in fresh.items():
-            self.days.updateValue((day,), (types, start, end))
-            yield Row(user_id=key[0], day=day, type_ints=types, start=start, end=end)
-        if self.clock == EVENT:
-            self._forget(timerValues.getCurrentWatermarkInMs() * 1000 // self.DAY)
-
-    def _forget(self, before: int) -> None:
-        """Drop the days that no row can reach any more, but the last one: it takes the closing mark."""
-        known = sorted(day[0] for day in self.days.keys())
-        for day in known[:-1]:
-            if day < before:
-                self.days.removeKey((day,))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = _sorted(rows, "at", "tie", "number")
+        known = known[known["number"] != NOTHING]
+        if known.empty:
+            self._renew(timerValues, None)
+            return
+        at, number = known["at"].to_numpy(), known["number"].to_numpy()
+        days, first = np.unique(at // self.DAY, return_index=True)
+        parts, last = self.sent.get() if self.sent.exists() else (0, int(days[-1]))
+        self.sent.update((parts + len(days), max(last, int(days[-1]))))
+        self._renew(timerValues, int(at[-1]))
+        yield self._parts(key, days, parts, np.split(number, first[1:]),
+                          np.maximum.reduceat(np.where(number < START_BELOW, at, 0), first),
+                          np.maximum.reduceat(np.where(number >= END_FROM, at, 0), first))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
-        known = [day[0] for day in self.days.keys()]
-        if known:
-            types, start, end = self.days.getValue((max(known),))
-            self.days.clear()
-            yield Row(user_id=key[0], day=max(known), type_ints=[*types, CLOSED_ACTIVITY], start=start, end=end)
+        if self.sent.exists():
+            parts, last = self.sent.get()
+            self.sent.update((parts + 1, last))
+            yield self._parts(key, np.array([last]), parts, [[CLOSED_ACTIVITY]], np.array([0]), np.array([0]))
+
+    @staticmethod
+    def _parts(key, days, parts: int, types: list, start, end) -> pd.DataFrame:
+        return _frame(key, ("user_id",), day=days.astype(np.int32), part=np.arange(parts, parts + len(days)),
+                      type_ints=[list(map(int, t)) for t in types], start=start, end=end)
 
 
 class SpanState(_Idle):
     """First and last time per event type of a user within a micro-batch."""
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        spans: dict[int, tuple[int, int, int]] = {}
-        newest = None
-        for r in rows:
-            if r.at is None or r.number is None:
-                continue
-            low, high, seen = spans.get(r.number, (r.at, r.at, 0))
-            spans[r.number] = (min(low, r.at), max(high, r.at), seen + 1)
-            newest = r.at if newest is None else max(newest, r.at)
-        self._renew(timerValues, newest)
-        for number, (low, high, seen) in spans.items():
-            yield Row(user_id=key[0], type_int=number, start=low, end=high if seen > 1 else 0)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = _sorted(rows, "number", "at")
+        known = known[known["number"] != NOTHING]
+        at = known["at"].to_numpy()
+        self._renew(timerValues, int(at.max()) if len(at) else None)
+        if len(at):
+            number, first, seen = np.unique(known["number"].to_numpy(), return_index=True, return_counts=True)
+            yield _frame(key, ("user_id",), type_int=number.astype(np.int32), start=at[first],
+                         end=np.where(seen > 1, at[first + seen - 1], 0))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
-        yield Row(user_id=key[0], type_int=CLOSED_SPANS, start=0, end=0)
+        yield _frame(key, ("user_id",), type_int=[CLOSED_SPANS], start=[0], end=[0])
 
 
-def _at(df: DataFrame, ts: str, tie: str | None):
+def _at(ts: str, tie: str | None) -> list[Column]:
     """Time as microseconds and a tiebreak, as the processors take them."""
-    return [F.unix_micros(F.col(ts)).alias("at"),
-            (F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")).alias("tie")]
+    return [_number(F.unix_micros(F.col(ts)), "at"), _number(F.col(tie) if tie else F.lit(0), "tie")]
 
 
 def _time(name: str, alias: str | None = None):
     return F.timestamp_micros(F.col(name)).alias(alias or name)
 
 
+def _number(column: Column, alias: str) -> Column:
+    return F.coalesce(column.cast("bigint"), F.lit(NOTHING)).alias(alias)
+
+
 def _run(df: DataFrame, keys: list[str], processor: StatefulProcessor, out: T.StructType,
          mode: str, clock: str) -> DataFrame:
-    return df.groupBy(*keys).transformWithState(
+    return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out, outputMode=mode,
         timeMode=clock)
 
@@ -259,10 +268,9 @@ def device_sessions_stream(actions: DataFrame, idle_ms: int = SESSION_IDLE, mode
     """Streaming form of ``device_sessions``; a session nobody ends for ``idle_ms``
     is emitted with end = epoch 0."""
     keys = {k: actions.schema[k].dataType for k in ("user_id", "device_id")}
-    slim = actions.select(*keys, F.col("channel_id").cast("bigint").alias("channel_id"), "action",
-                          *_at(actions, "action_ts", tiebreak),
-                          *(["action_ts"] if clock == EVENT else []))
-    out = _out(keys, channel_id=T.LongType(), start=T.LongType(), end=T.LongType())
+    slim = actions.select(*keys, _number(F.col("channel_id"), "channel"), _number(F.col("action"), "action"),
+                          *_at("action_ts", tiebreak), *(["action_ts"] if clock == EVENT else []))
+    out = _out(keys, start=T.LongType(), end=T.LongType(), channel_id=T.LongType())
     found = _run(slim, list(keys), SessionState(idle_ms, clock), out, mode, clock)
     return found.select(*keys, F.col("channel_id").cast(actions.schema["channel_id"].dataType)
                         .alias("channel_id"), _time("start", "start_ts"), _time("end", "end_ts"))
@@ -277,29 +285,43 @@ def session_parts_stream(actions: DataFrame, seconds: int, tiebreak: str | None
     """
     keys = {k: actions.schema[k].dataType for k in ("user_id", "device_id")}
     slim = actions.select(*keys, F.col("channel_id").cast("bigint").alias("channel_id"), "action",
-                          *_at(actions, "action_ts", tiebreak), "action_ts")
+                          F.unix_micros("action_ts").alias("at"),
+                          (F.col(tiebreak) if tiebreak else F.lit(0)).cast("bigint").alias("tie"), "action_ts")
     out = _out(keys, channel_id=T.LongType(), start=T.LongType(), since=T.LongType(), until=T.LongType(),
                closed=T.BooleanType())
-    found = _run(slim, list(keys), PartState(seconds), out, "append", EVENT)
+    found = slim.groupBy(*keys).transformWithState(
+        statefulProcessor=PartState(seconds), outputStructType=out, outputMode="append", timeMode=EVENT)
     return found.select(*keys, F.col("channel_id").cast(actions.schema["channel_id"].dataType).alias("channel_id"),
                         _time("start", "session_start"), _time("since", "part_start"), _time("until", "part_end"), "closed")
 
 
 def _numbered(events: DataFrame, tiebreak: str | None, clock: str) -> DataFrame:
-    return events.select("user_id", type_number(F.col("event_type")).alias("number"),
-                         *_at(events, "event_ts", tiebreak),
+    return events.select("user_id", _number(type_number(F.col("event_type")), "number"), *_at("event_ts", tiebreak),
                          *(["event_ts"] if clock == EVENT else []))
 
 
-def user_activity_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "update",
-                         tiebreak: str | None = None, clock: str = PROCESSING) -> DataFrame:
-    """Streaming form of ``user_activity``: a row per user and day that a trigger changed, with
-    the day's list so far; after ``idle_ms`` the last day once more with the mark 500."""
+def activity_parts_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "append",
+                          tiebreak: str | None = None, clock: str = PROCESSING) -> DataFrame:
+    """What each micro-batch adds to the activity of a user on a day, and after ``idle_ms`` the
+    mark 500 on the last day.
+
+    Every event is sent on once, so the output grows with the input and not with the lists.
+    ``part`` numbers a user's rows as they come; ``activity_days`` puts them together.
+    """
     keys = {"user_id": events.schema["user_id"].dataType}
-    out = _out(keys, day=T.IntegerType(), type_ints=T.ArrayType(T.IntegerType()), start=T.LongType(), end=T.LongType())
-    found = _run(_numbered(events, tiebreak, clock), ["user_id"],
-                 ActivityState(idle_ms, clock), out, mode, clock)
-    return found.select("user_id", F.date_from_unix_date("day").alias("day"), "type_ints", _time("start"), _time("end"))
+    out = _out(keys, day=T.IntegerType(), part=T.LongType(), type_ints=T.ArrayType(T.IntegerType()),
+               start=T.LongType(), end=T.LongType())
+    found = _run(_numbered(events, tiebreak, clock), ["user_id"], ActivityState(idle_ms, clock), out, mode, clock)
+    return found.select("user_id", F.date_from_unix_date("day").alias("day"), "part", "type_ints",
+                        _time("start"), _time("end"))
+
+
+def activity_days(parts: DataFrame) -> DataFrame:
+    """The parts of ``activity_parts_stream`` as ``user_activity`` gives them: a row per user and day."""
+    in_order = F.sort_array(F.collect_list(F.struct("part", "type_ints")))
+    return parts.groupBy("user_id", "day").agg(
+        F.flatten(F.transform(in_order, lambda p: p["type_ints"])).alias("type_ints"),
+        F.max("start").alias("start"), F.max("end").alias("end"))
 
 
 def type_spans_stream(events: DataFrame, idle_ms: int = ACTIVITY_IDLE, mode: str = "append",

@@ -11,7 +11,7 @@ from samples import (SESSIONS, VIEWS, actions, ads, at, channels, locations, row
 
 from airtally.operators import enrich, schedule
 from airtally.operators.dashboards import count_by
-from airtally.operators.sessions import device_sessions
+from airtally.operators.sessions import device_sessions, user_activity
 from airtally.sources import documents, feeds, files, topics
 from airtally.streaming import joins, state
 from airtally.streaming.runner import ALL_THERE_IS, Live, kept, run_queries, table_sink
@@ -70,10 +70,10 @@ def test_activity_and_spans_are_closed_by_event_time(spark, tmp_path):
         "user_id", F.col("t").cast("timestamp").alias("event_ts"), "event_type")
     drop_files(df, tmp_path / "in", [[1], [2]], "user_id")
     marked = stream_of(spark, df, tmp_path / "in").withWatermark("event_ts", "1 second")
-    lists = finish(Live("a", state.user_activity_stream(marked, mode="update", clock=state.EVENT), "update"),
-                   tmp_path / "out")
-    assert sorted(r.type_ints for r in lists.filter("user_id = 1").collect()) == [[2, 8, 8], [2, 8, 8, 500]]
-    closed = lists.filter("size(type_ints) = 4").first()
+    sent = finish(Live("a", state.activity_parts_stream(marked, clock=state.EVENT)), tmp_path / "out")
+    assert sorted((r.part, r.type_ints) for r in sent.filter("user_id = 1").collect()) == [(0, [2, 8, 8]), (1, [500])]
+    closed = state.activity_days(sent).filter("user_id = 1").first()
+    assert closed.type_ints == [2, 8, 8, 500]
     assert (closed.start, closed.end) == (at("2024-01-01 00:00:00"), at("2024-01-01 00:00:06"))
     spans = finish(Live("b", state.type_spans_stream(marked, clock=state.EVENT)), tmp_path / "out")
     assert rows(spans.filter("user_id = 1")) == [
@@ -82,6 +82,37 @@ def test_activity_and_spans_are_closed_by_event_time(spark, tmp_path):
         (1, 999, at("1970-01-01 00:00:00"), at("1970-01-01 00:00:00"))]
 
 
+def test_activity_sends_each_event_once(spark, tmp_path):
+    """Lists that grow over many micro-batches: rows sent on are those that came in."""
+    df = spark.range(120).select(
+        (F.col("id") % 2).cast("int").alias("user_id"), F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1704067200 - 60) + F.col("id")).alias("event_ts"),
+        F.concat(F.lit("type_"), F.col("id") % 9).alias("event_type"), (F.col("id") / 30).cast("int").alias("batch"))
+    drop_files(df, tmp_path / "in", [[0], [1], [2], [3]], "batch")
+    found = state.activity_parts_stream(stream_of(spark, df, tmp_path / "in"), tiebreak="event_id", clock=state.NEVER)
+    sent = finish(Live("a", found), tmp_path / "out")
+    assert sent.agg(F.sum(F.size("type_ints"))).first()[0] == 120
+    whole = user_activity(df, ["event_id"]).collect()
+    assert {(r.user_id, r.day): (r.type_ints, r.start, r.end) for r in state.activity_days(sent).collect()} \
+        == {(r.user_id, r.day): (r.type_ints, r.start, r.end) for r in whole} and len(whole) == 4
+
+
+def test_state_takes_nulls_and_large_numbers(spark, tmp_path):
+    """Null channels, times and actions, and ids that a double cannot hold."""
+    big = (1 << 62) + 1
+    data = [(1, 1, None, 1, "2024-01-01 00:00:00", 1), (1, 1, big, 3, "2024-01-01 00:01:00", big + 1),
+            (1, 1, 5, 3, "2024-01-01 00:01:00", big + 2), (1, 1, 6, None, "2024-01-01 00:02:00", 3),
+            (1, 1, 7, 2, None, 4), (1, 1, None, 2, "2024-01-01 00:03:00", None)]
+    acts = spark.createDataFrame(data, "user_id int, device_id int, channel_id bigint, action int, t string, tie bigint") \
+        .withColumn("action_ts", F.to_timestamp("t")).drop("t")
+    acts.coalesce(1).write.parquet(str(tmp_path / "in"))
+    found = state.device_sessions_stream(stream_of(spark, acts, tmp_path / "in"), tiebreak="tie", clock=state.NEVER, mode="append")
+    got = finish(Live("s", found), tmp_path / "out").orderBy("start_ts", "end_ts", F.col("channel_id").isNull()).collect()
+    minute = [at(f"2024-01-01 00:0{m}:00") for m in range(4)]
+    assert [(r.channel_id, r.start_ts, r.end_ts) for r in got] == [
+        (None, minute[0], minute[1]), (big, minute[1], minute[1]), (5, minute[1], minute[3])]
+
+
 def test_sessions_on_the_clock(spark, tmp_path):
     """With a processing-time timer the quiet session is closed while the query runs."""
     acts = actions(spark).filter("action = 1 AND device_id IN (14, 16)")
