@@ -103,8 +103,12 @@ def event_customer_join(events: DataFrame, customers: DataFrame, rows: int = HOT
 def ratings_enriched(ratings: DataFrame, customer_changes: DataFrame, order: list[str],
                      rows: int = HOT_ROWS) -> DataFrame:
     """Ratings with the latest state of their customer, where a first name is known."""
-    table = latest_by_key(customer_changes, ["id"], order)
-    people = table.select(F.col("id").alias("user_id"), "first_name", "last_name",
+    return with_customers(ratings, latest_by_key(customer_changes, ["id"], order), rows)
+
+
+def with_customers(ratings: DataFrame, customers: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """Ratings with their customer from a table of one row each, where a first name is known."""
+    people = customers.select(F.col("id").alias("user_id"), "first_name", "last_name",
                           "club_status", "email")
     joined = salted_join(ratings, people, ["user_id"], "left",
                          hot=hot_keys(ratings, ["user_id"], rows))

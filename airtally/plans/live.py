@@ -7,6 +7,7 @@ folder, and is read back as a table.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from airtally.plans.views import Views
 from airtally.session import new_folder, written
 from airtally.sources.feeds import LATE, ads_from_topic
 from airtally.sources.topics import topic_decode
-from airtally.streaming import joins, parts, state
+from airtally.streaming import joins, latest, parts, state
 from airtally.streaming.runner import Live, kept, table_sink
 
 
@@ -40,9 +41,10 @@ class Streams(Views):
         return self.spark.readStream.schema(still.schema).parquet(path)
 
 
-def finish(rows: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+def finish(rows: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
+           step: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     folder = new_folder(rows.sparkSession, "live")
-    live = Live(name, rows, mode)
+    live = Live(name, rows, mode, step=step)
     table_sink(live, folder).awaitTermination()
     return kept(live, folder, keys)
 
@@ -115,14 +117,21 @@ def event_customer_join_live(v: Views):
     events = Streams(v).events().select("event_id", "event_type", "event_ts", "event_amount",
                                         F.col("user_id").alias("customer_id"))
     people = v.customers().select("id", "last_name", "club_status", "nation")
-    joined = enrich.event_customer_join(events.withWatermark("event_ts", LATE["event"]), people)
-    return finish(joined, "joined")
+    # Joined a micro-batch at a time, so that the batch's heavy customers are counted and spread.
+    return finish(events, "joined", step=lambda batch: enrich.event_customer_join(batch, people))
 
 
 @query("ratings_enriched_live", same_as="ratings_enriched")
 def ratings_enriched_live(v: Views):
-    rated = enrich.ratings_enriched(Streams(v, "orders").ratings(), v.customer_changes(), ["version"])
-    return finish(rated, "rated")
+    """Ratings meet the newest version of a customer table that a second stream keeps."""
+    folder = new_folder(v.spark, "customers")
+    came = v.customer_changes().withColumn("came", F.timestamp_seconds(F.col("version") * 1000 + F.col("id") % 1000))
+    flow = in_batches(came, "customer-stream", "came").drop("came")
+    latest.keep_latest(flow, folder, ["id"], ["version"]).awaitTermination()
+
+    def joined(batch: DataFrame) -> DataFrame:
+        return enrich.with_customers(batch, latest.latest_table(v.spark, folder, flow.schema, ["id"], ["version"]))
+    return finish(Streams(v, "orders").ratings(), "rated", step=joined)
 
 
 @query("unhappy_by_name_live", same_as="unhappy_by_name")
@@ -140,6 +149,17 @@ def latest_by_key_live(v: Views):
     return finish(slim, "newest", "update", ["key"])
 
 
+@query("latest_table_live", same_as="latest_by_key")
+def latest_table_live(v: Views):
+    """The same kept as a table over several micro-batches: deltas, merged into versions."""
+    folder = new_folder(v.spark, "newest")
+    slim = v.changes().select("key", "op", "offset", "timestamp", F.col("after.status").alias("status"))
+    flow = in_batches(slim, "change-stream", "timestamp")
+    latest.keep_latest(flow, folder, ["key"], ["timestamp", "offset"]).awaitTermination()
+    newest = latest.latest_table(v.spark, folder, flow.schema, ["key"], ["timestamp", "offset"])
+    return newest.select("key", "op", "offset", "status")
+
+
 @query("topic_json_decode_live", same_as="topic_json_decode")
 def topic_json_decode_live(v: Views):
     return finish(topic_decode(Streams(v).envelope(), EVENT), "decoded")

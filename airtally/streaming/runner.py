@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from airtally.operators.changes import latest_by_key
@@ -17,19 +18,30 @@ ALL_THERE_IS = {"availableNow": True}
 
 @dataclass(frozen=True)
 class Live:
-    """One streaming query to run: its rows, output mode and trigger."""
+    """One streaming query to run: its rows, output mode and trigger.
+
+    ``step`` is applied to each micro-batch as a table, for plans that depend on the batch's data,
+    such as a join that spreads the batch's heavy keys or reads the newest version of a table.
+    """
 
     name: str
     rows: DataFrame
     mode: str = "append"
     trigger: dict | None = None
+    step: Callable[[DataFrame], DataFrame] | None = None
+
+    def schema(self) -> T.StructType:
+        if self.step is None:
+            return self.rows.schema
+        return self.step(self.rows.sparkSession.createDataFrame([], self.rows.schema)).schema
 
 
 def table_sink(live: Live, folder: str) -> StreamingQuery:
     """Write every micro-batch to its own folder. A batch repeated after a failure
     replaces its folder, so each batch counts once, in any output mode."""
     def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{folder}/{live.name}/rows/batch={batch}")
+        result = live.step(rows) if live.step else rows
+        result.write.mode("overwrite").parquet(f"{folder}/{live.name}/rows/batch={batch}")
     return (live.rows.writeStream.queryName(live.name).outputMode(live.mode).foreachBatch(keep)
             .option("checkpointLocation", f"{folder}/{live.name}/checkpoint")
             .trigger(**(live.trigger or ALL_THERE_IS)).start())
@@ -40,7 +52,7 @@ def kept(live: Live, folder: str, keys: list[str] | None = None) -> DataFrame:
     batch in complete mode, the latest row per key in update mode (all rows when
     no keys are given)."""
     spark = live.rows.sparkSession
-    schema = live.rows.schema.add("batch", "long")
+    schema = T.StructType([*live.schema().fields, T.StructField("batch", T.LongType())])
     rows = spark.read.schema(schema).parquet(f"{folder}/{live.name}/rows")
     if live.mode == "complete":
         newest = rows.agg(F.max("batch").alias("batch"))  # one row

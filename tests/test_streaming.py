@@ -13,7 +13,7 @@ from airtally.operators import enrich, schedule
 from airtally.operators.dashboards import count_by
 from airtally.operators.sessions import device_sessions, user_activity
 from airtally.sources import documents, feeds, files, topics
-from airtally.streaming import joins, state
+from airtally.streaming import joins, latest, state
 from airtally.streaming.runner import ALL_THERE_IS, Live, kept, run_queries, table_sink
 
 
@@ -113,6 +113,43 @@ def test_state_takes_nulls_and_large_numbers(spark, tmp_path):
         (None, minute[0], minute[1]), (big, minute[1], minute[1]), (5, minute[1], minute[3])]
 
 
+def test_latest_table_over_batches(spark, tmp_path):
+    """Late and repeated changes, a restart, merged versions and what is left of old ones."""
+    data = [(0, 1, 5, "a"), (0, 2, 1, "b"), (1, 1, 4, "late"), (1, 2, 2, "c"), (2, 2, 2, "c"), (3, 3, 1, None),
+            (4, None, 1, "n"), (5, 1, 9, "z"), (6, None, 2, "m"), (6, 4, 1, "d")]
+    df = spark.createDataFrame(data, "batch int, k int, v int, t string")
+    folder, want = str(tmp_path / "out"), {}
+    assert latest.latest_table(spark, folder, df.schema, ["k"], ["v"]).count() == 0
+    for group in ([0, 1, 2], [3, 4, 5, 6]):
+        drop_files(df, tmp_path / "in", [[b] for b in group], "batch")
+        latest.keep_latest(stream_of(spark, df, tmp_path / "in"), folder, ["k"], ["v"], merge_every=2).awaitTermination()
+        for _, k, v, t in (r for r in data if r[0] in group):
+            want[k] = max(want.get(k, (v, t)), (v, t), key=lambda r: r[0])
+        got = latest.latest_table(spark, folder, df.schema, ["k"], ["v"]).collect()
+        assert {r.k: (r.v, r.t) for r in got} == want and len(got) == len(want)
+    assert latest._complete(spark, folder, latest.VERSION) == [3, 5]
+    assert latest._complete(spark, folder, latest.DELTA) == [4, 5, 6]
+    # A batch that ran again after a failure sees only what came before it.
+    past = latest.latest_table(spark, folder, df.schema, ["k"], ["v"], before=4).collect()
+    assert {r.k: (r.v, r.t) for r in past} == {1: (5, "a"), 2: (2, "c"), 3: (1, None)}
+
+
+def test_heavy_customer_on_a_stream(spark, tmp_path):
+    """A micro-batch's heavy key is spread, and rows of unknown customers go."""
+    events = spark.range(300).select("id", F.when(F.col("id") < 200, 7).otherwise(F.col("id")).cast("int").alias("customer_id"))
+    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    people = spark.createDataFrame([(7, "seven"), (250, "other")], "id int, name string")
+    seen = []
+
+    def step(batch):
+        joined = enrich.event_customer_join(batch.withColumnRenamed("id", "event_id"), people, rows=50)
+        seen.append("slice" in joined._jdf.queryExecution().optimizedPlan().toString())
+        return joined
+    got = finish(Live("j", stream_of(spark, events, tmp_path / "in"), step=step), tmp_path / "out")
+    assert got.count() == 201 and got.filter("name = 'seven'").count() == 200
+    assert any(seen)
+
+
 def test_sessions_on_the_clock(spark, tmp_path):
     """With a processing-time timer the quiet session is closed while the query runs."""
     acts = actions(spark).filter("action = 1 AND device_id IN (14, 16)")
