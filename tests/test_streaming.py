@@ -399,3 +399,39 @@ def test_static_left_outer_stream_is_refused(spark, tmp_path):
     outer = shows.join(flow.select("channel_id"), "channel_id", "left_outer")
     with pytest.raises(Exception, match="(?i)not supported|STREAMING"):
         outer.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")).start()
+
+
+def test_keys_of_a_group_are_told_apart(spark, tmp_path):
+    """Few calls for many keys: null, large and text keys, over batches, with one state value for a group."""
+    big = (1 << 62) + 1
+    data = [(key, n, f"2024-01-01 00:0{n}:00", f"type_{n}", n // 2) for key in (None, 0, big, big + 1, *range(3000, 6000)) for n in (0, 1, 2)]
+    df = spark.createDataFrame(data, "user_id bigint, event_id bigint, t string, event_type string, batch int") \
+        .withColumn("event_ts", F.to_timestamp("t")).drop("t")
+    for kind in ("bigint", "string"):
+        typed = df.withColumn("user_id", F.col("user_id").cast(kind))
+        drop_files(typed, tmp_path / kind, [[0], [1]], "batch")
+        live = Live("a", state.activity_parts_stream(stream_of(spark, typed, tmp_path / kind), tiebreak="event_id", clock=state.NEVER))
+        query = table_sink(live, str(tmp_path / f"{kind}-out"))
+        query.awaitTermination()
+        sent = kept(live, str(tmp_path / f"{kind}-out"))
+        assert query.lastProgress.stateOperators[0].numRowsTotal <= state.BUCKETS
+        assert sorted((r.part, *r.type_ints) for r in sent.where("user_id IS NULL").collect()) == [(0, 0, 1), (1, 2)]
+        assert sent.schema["user_id"].dataType == typed.schema["user_id"].dataType
+        got = rows(state.activity_days(sent))
+        assert got == rows(user_activity(typed, ["event_id"])) and len(got) == 3004
+
+
+def test_state_partitions_are_bounded(spark, tmp_path):
+    """Many shuffle partitions do not become as many state stores; the setting comes back."""
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        acts = actions(spark)
+        drop_files(acts, tmp_path / "in", [[1, 2, 3]], "action")
+        live = Live("s", state.device_sessions_stream(stream_of(spark, acts, tmp_path / "in"), clock=state.NEVER), "update")
+        query = table_sink(live, str(tmp_path / "out"))
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert query.lastProgress.stateOperators[0].numShufflePartitions <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
