@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
+from compare import spark_result, sql_result
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from samples import SALARIES, ads, channels, locations, rows, sessions, users
@@ -217,3 +219,17 @@ def test_activity_of_a_hot_user_is_whole(skewed):
     spans = {(r.user_id, r.type_int): (r.start, r.end) for r in type_spans(events).collect()}
     single = [v for v in spans.values() if v[1] == datetime(1970, 1, 1)]
     assert len(spans) > 100 and single
+
+
+def test_activity_query_gives_one_row_per_user(spark, tmp_path):
+    """The query's list is the user's whole one over all days, a time before 1970 included."""
+    from __spark_entry__ import ORACLES, QUERIES
+    data = [(e, f"{day} 10:00:00", user, "view", 1.0) for e, (day, user) in enumerate(
+        [("2024-01-03", 1), ("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-01", 2), ("1969-12-30", 3), ("1969-12-31", 3), ("2024-01-02", 1)], 1)]
+    events = spark.createDataFrame(data, "event_id long, t string, user_id long, event_type string, value double")
+    events.withColumn("ts", F.col("t").cast("timestamp_ntz")).drop("t").write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert spark_result(QUERIES["user_activity"](spark, str(tmp_path))) == sql_result(con, ORACLES["user_activity"])
+    got = {r.user_id: (r.part, r.type_ints) for r in QUERIES["user_activity"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, "4,1,7,9"), 2: (0, "8"), 3: (0, "5,2")}
