@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, Bucketizer, CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, Bucketizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtally.operators.rowops import keyed_sample, keyed_split
+from airtally.session import written
 
 # The parameters of the model.
 TOKEN_GAPS = r'\s+|[,.()"]'
@@ -57,24 +58,40 @@ def token_counts(df: DataFrame, text: str) -> DataFrame:
     return tokens.filter("token != ''").groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
-def text_pipeline(text: str = "reviewTS", label: str = "label", vocabulary: int = VOCABULARY,
-                  iterations: int = ITERATIONS) -> Pipeline:
-    """Tokens, stop words, term counts, inverse document frequency, logistic regression."""
+def token_stages(text: str = "reviewTS") -> list:
+    """Tokens without stop words."""
+    return [tokenizer(text, "tokens_all"),
+            StopWordsRemover(inputCol="tokens_all", outputCol="tokens",
+                             stopWords=StopWordsRemover.loadDefaultStopWords("english"))]
+
+
+def text_pipeline(terms: list[str], text: str = "reviewTS", label: str = "label", iterations: int = ITERATIONS) -> Pipeline:
+    """Tokens, stop words, counts of the given terms, inverse document frequency, logistic regression."""
     return Pipeline(stages=[
-        tokenizer(text, "tokens_all"),
-        StopWordsRemover(inputCol="tokens_all", outputCol="tokens",
-                         stopWords=StopWordsRemover.loadDefaultStopWords("english")),
-        CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=vocabulary),
+        *token_stages(text),
+        CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="counts"),
         IDF(inputCol="counts", outputCol="features"),
         LogisticRegression(labelCol=label, maxIter=iterations, regParam=REGULARISATION,
                            elasticNetParam=ELASTIC_NET)])
 
 
-def fit_text_model(train: DataFrame, **params) -> PipelineModel:
+def frequent_terms(tokens: DataFrame, column: str, size: int) -> list[str]:
+    """The ``size`` terms that occur most, the first by name where they occur alike, as the model's vocabulary.
+
+    Only those reach the driver; ``CountVectorizer.fit`` sends it the terms of every task.
+    """
+    counts = tokens.select(F.explode(column).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    # Written, as tasks then take the first terms; collected at once, every task would send its own.
+    found = written(counts.orderBy(F.col("n").desc(), "term").limit(size), "terms")
+    return [term for _, term in sorted((-r.n, r.term) for r in found.toLocalIterator())]
+
+
+def fit_text_model(train: DataFrame, text: str = "reviewTS", vocabulary: int = VOCABULARY, **params) -> PipelineModel:
     """Fit the pipeline; the training rows are kept while the fit passes over them."""
     kept = train.persist()
     try:
-        return text_pipeline(**params).fit(kept)
+        words = PipelineModel(token_stages(text)).transform(kept)
+        return text_pipeline(frequent_terms(words, "tokens", vocabulary), text=text, **params).fit(kept)
     finally:
         kept.unpersist()
 

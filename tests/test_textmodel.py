@@ -36,3 +36,19 @@ def test_fit_score_save(spark, tmp_path):
     tm.save_model(model, str(tmp_path / "m"))
     again = tm.scores(tm.load_model(str(tmp_path / "m")), labelled)
     assert rows(again, "id", "prediction") == rows(scored, "id", "prediction")
+
+
+def test_only_the_frequent_terms_reach_the_driver(spark):
+    """The most frequent terms, by name where they occur alike; the results of tasks do not grow with all terms."""
+    words = spark.range(30_000).selectExpr("array(concat('w', id % 10000), concat('x', id), 'often', 'often') AS tokens").repartition(16)
+    group = "frequent terms"
+    spark.sparkContext.setJobGroup(group, "terms")
+    found = tm.frequent_terms(words, "tokens", 5)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == ["often", "w0", "w1", "w10", "w100"]
+    assert tm.frequent_terms(words.limit(0), "tokens", 5) == []
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    sent = sum(store.lastStageAttempt(s).resultSize() for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds
+               if store.lastStageAttempt(s).status().toString() == "COMPLETE")
+    assert sent < 300_000
