@@ -11,8 +11,9 @@ Cases: null or empty text has no words, fails the base rules and scores 0; each
 one row, repeated rows and null ids included; a text of any length is read whole; a score equal
 to the threshold is kept; an id labelled good several times counts once, an id labelled both good
 and bad counts as good; without target rows (no labels, empty table) all ratios are 0 and only
-the base rules decide. ``decided`` reads ``doc_id`` and ``text`` only;
-``kept_documents`` keeps the documents' columns and adds none, so names cannot clash.
+the base rules decide. ``decided`` reads ``doc_id`` and ``text`` only and counts every row;
+``kept_documents``, whose copies a later stage removes, counts each different text once, so that a
+text is not rejected for having copies. It keeps the documents' columns and adds none, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -138,13 +139,16 @@ def _marked(texts: DataFrame, labels: DataFrame, most_maps: int = MOST_MAPS) ->
         texts.where(at.isNull()).select(F.lit(0).alias("target"), "text"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame) -> list[int]:
+def log_ratios(docs: DataFrame, labels: DataFrame, once: bool = False) -> list[int]:
     """The log ratio of target to corpus of every bucket, in thousandths.
 
     All documents are counted, with those labelled good as target; counts are combined per task and
-    come down to one row per bucket.
+    come down to one row per bucket. With ``once`` equal texts count as one, good if one of them is.
     """
-    parts = _marked(docs.select("doc_id", "text"), labels).select("target", words_of(F.col("text")).alias("words"))
+    marked = _marked(docs.select("doc_id", "text"), labels)
+    if once:
+        marked = marked.groupBy("text").agg(F.max("target").alias("target"))
+    parts = marked.select("target", words_of(F.col("text")).alias("words"))
     counted = (_bucket_rows(parts).groupBy("bucket")
                .agg(F.count("*").alias("corpus"), F.sum("target").alias("target")).collect())
     corpus, target = sum(row["corpus"] for row in counted), sum(row["target"] for row in counted)
@@ -195,6 +199,6 @@ def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     packed = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document"), "text")
     # The partition number makes the column one that Spark does not move a filter through: a filter
     # moved below the projections would compute words and hashes again for each element.
-    found = _decide(packed, log_ratios(docs, labels), ["document"], threshold).select(
+    found = _decide(packed, log_ratios(docs, labels, once=True), ["document"], threshold).select(
         "document", (F.col("kept") & (F.spark_partition_id() >= 0)).alias("stays"))
     return found.where("stays").select("document.*")

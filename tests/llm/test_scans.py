@@ -84,6 +84,17 @@ def test_log_ratios_and_scores_equal_plain_counts(spark):
     assert all(r.kept for r in rules.decided(docs, labels, tie).collect() if r.score == tie and not r.base_failed)
 
 
+def test_copies_do_not_reject_their_text(spark):
+    pick = random.Random(7)
+    texts = [" ".join(f"w{pick.randint(0, 9999)}" for _ in range(70)) for _ in range(12)]
+    rows = [*enumerate(texts), *[(100 + k, texts[0]) for k in range(4)], (None, texts[0]), (200, texts[5]), (201, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 6)], "doc_id long, quality int")
+    left = [tuple(r) for r in rules.kept_documents(docs, labels).collect()]
+    assert Counter(left) == Counter(row for row in rows if row[1])
+    assert rules.log_ratios(docs, labels, once=True) == rules.log_ratios(docs.where("doc_id < 100 or doc_id = 201"), labels)
+
+
 @pytest.mark.parametrize("kind, most", [("long", 10), ("int", 10), ("long", 0), ("string", 10)])
 def test_marked_texts_are_those_labelled_good(spark, kind, most):
     ids = [0, 1, 7, 8, 9, 32767, 32768, 32769, 65536, 65537, -1, -7, -8, -32768, 2 ** 31 - 1, None, None, 9]
