@@ -83,6 +83,25 @@ def test_long_intervals_do_not_share_one_cell(spark):
             == rows(interval_overlap(a, b, "key", method="plain"), "a_id", "b_id")
 
 
+def test_pairs_of_a_crowded_cell_come_in_runs(spark):
+    """A merge join holds the spread rows, so a right row's pairs stand together and files stay small."""
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 5)
+
+    def spans(n):
+        return spark.range(n).select("id", F.lit(1).alias("key"), start.alias("start_ts"),
+                                     (start + F.expr("INTERVAL 1 HOUR")).alias("end_ts"))
+
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        got = [(r.a_id, r.b_id) for r in interval_overlap(spans(300), spans(60), "key", hot_rows=100).collect()]
+    finally:
+        spark.conf.set(broadcast, kept)
+    assert sorted(got) == [(a, b) for a in range(300) for b in range(60)]
+    assert sum(one[1] != two[1] for one, two in zip(got, got[1:])) < len(got) / 10
+
+
 @pytest.mark.parametrize("hot_rows", [None, 3])
 def test_full_pipelines_with_crowded_cells(spark, hot_rows):
     shows, watched = schedule.shows_of(channels(spark)), sessions(spark)
