@@ -18,6 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from airtally.streaming.meet import meet_stream
 
 #: Seconds of a cell.
 PART = 6 * 3600
@@ -77,10 +80,18 @@ def ad_view_parts(ads: DataFrame, parts: DataFrame, how: str = "inner") -> DataF
         F.least("part_end", "shown_to").alias("end_ts"))
 
 
+def _kind(df: DataFrame, column: str) -> str:
+    """Numbers and text are kept in groups; others have names of their own here and stay in a join."""
+    kind = df.schema[column].dataType
+    return "number" if isinstance(kind, T.IntegralType) else "text" if kind == T.StringType() else f"{column}: {kind}"
+
+
 def with_points(views: DataFrame, points: DataFrame) -> DataFrame:
     """Parts of views with each position of their device inside them (``in_cell``), or nulls."""
     seen = points.select(*POINT, F.col("cell").alias("point_cell"))
     named = views.withColumnRenamed("device_id", "view_device_id")
+    if views.isStreaming and points.isStreaming and (_kind(named, "view_device_id") == _kind(seen, "device_id")):
+        return meet_stream(named, seen, ("view_device_id", "device_id"), "start_ts", "end_ts", "kdts", ("cell", "point_cell"))
     inside = ((F.col("view_device_id") == F.col("device_id")) & (F.col("cell") == F.col("point_cell"))
               & (F.col("start_ts") <= F.col("kdts")) & (F.col("end_ts") >= F.col("kdts")))
     return named.join(seen, inside, "left_outer").drop("point_cell")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from airtally.operators import rowops
 from airtally.operators.ranking import ranked
 from airtally.operators.sessions import device_sessions
+from airtally.plans import live
 from airtally.sources.documents import write_index
 from airtally.streaming import parts, state
 from airtally.streaming.runner import Live, kept, table_sink
@@ -88,6 +89,49 @@ def test_ads_and_points_leave_the_state(spark, tmp_path, sent):
     assert [r.ad_id for r in parts.unseen_ads(rows, known).where("ad_id > 0").collect()] == [9]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_points_are_kept_in_groups(spark, tmp_path, kind):
+    """Views of a stream get the rows of the plain outer join, and the state holds groups, not rows."""
+    view, point = f"program string, device_id {kind}, part_start timestamp, start_ts timestamp, end_ts timestamp", \
+        f"device_id {kind}, lon double, lat double, visibility long, kdts timestamp"
+    device = (lambda n: n) if kind == "long" else (lambda n: f"d{n}")
+    many = [(f"p{k}", device(1), hours(1), hours(1), hours(2)) for k in range(300)]
+    views = [[*many, *[("q", device(n), hours(3), hours(3), hours(4)) for n in range(2, 400)], ("w", None, hours(3), hours(3), hours(4))],
+             [(None, device(2), hours(8), hours(8), hours(9)), ("r", device(3), hours(8), hours(8), hours(8))],
+             [("s", device(3), hours(30), hours(30), hours(31))], [("z", device(-1), hours(999), hours(999), hours(999))]]
+    points = [[(device(1), float(k), None, k, hours(1 + k / 299)) for k in range(300)], [(device(2), float("nan"), 0.5, None, hours(3.5))],
+              [(device(3), None, -0.0, 4, hours(8)), (device(3), 1.0, 2.0, 4, hours(8)), (None, 1.0, 1.0, 1, hours(8)), (device(3), 1.0, 1.0, 1, None)],
+              [(device(-2), 0.0, 0.0, 0, hours(999))]]
+    # Rows that come two batches after their cell has passed change nothing.
+    late = [("late", device(4), hours(3), hours(3), hours(4))], [(device(5), 1.0, 1.0, 1, hours(3.5))]
+    sides = [parts.in_cell(put(spark, str(tmp_path / name), [*data, [], after, []], schema), at, "18 hours")
+             for name, data, after, schema, at in (("v", views, late[0], view, "part_start"), ("p", points, late[1], point, "kdts"))]
+    query, got = ran(Live("w", parts.with_points(*sides)), tmp_path / "out")
+    want = parts.with_points(*[parts.in_cell(spark.createDataFrame([r for rows in data for r in rows], schema), at, "18 hours")
+                               for data, schema, at in ((views, view, "part_start"), (points, point, "kdts"))])
+    assert got.columns == want.columns and dict(got.dtypes) == dict(want.dtypes)
+    # What moved the clock waits for the next rows.
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.where("program IS NULL OR program <> 'z'").collect()))
+    assert got.where("program LIKE 'p%'").count() == 90_000
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 100
+
+
+def test_batches_of_a_stream_have_files_of_their_own(spark, monkeypatch):
+    """Batches in several files keep their rows together and their order, also where one has too few rows."""
+    monkeypatch.setattr(live, "FILE_ROWS", 500)
+    rows = spark.range(6000).select("id", F.timestamp_seconds(F.when(F.col("id") < 5990, F.col("id") % 3000).otherwise(F.col("id"))).alias("at"))
+    rows = rows.unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit(None).cast("timestamp").alias("at")))
+    flow = live.in_batches(rows, "flow", "at", {"id": F.lit(-2), "at": F.timestamp_seconds(F.lit(99_999))})
+    seen = []
+
+    def keep(batch, number):
+        seen.append(sorted(map(tuple, batch.selectExpr("id", "floor(unix_seconds(at) / 1000)").collect())))
+    folder = live.new_folder(spark, "seen")
+    flow.writeStream.foreachBatch(keep).trigger(availableNow=True).option("checkpointLocation", folder).start().awaitTermination()
+    first, last = [(n, n % 3000 // 1000) for n in range(5990)], [(n, 5) for n in range(5990, 6000)]
+    assert seen == [sorted([r for r in first if r[1] == k] + ([(-1, None)] if k == 0 else [])) for k in range(3)] + [[], [], last, [(-2, 99)]]
+
+
 def test_idle_sessions_and_late_rows(spark, tmp_path):
     """A pause closes a session within a batch or between two; a late stop changes nothing."""
     data = [[(1, 1, 5, 1, hours(0), 1), (2, 2, 5, 1, hours(0), 2), (2, 2, 5, 2, hours(5), 3)], [(3, 3, 5, 1, hours(6), 4)],
