@@ -124,7 +124,8 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 6, rate: float = 1.0
             # A document's mean spreads a step over all its n-grams; the factor undoes that.
             vectors[found] -= np.outer(share * min(len(found), 200), back)
             done += 1
-    logits = vectors @ (layer[1] - layer[0])
+    # The same numbers, but what is computed from them is not rounded to single precision.
+    logits = (vectors @ (layer[1] - layer[0])).astype(np.float64)
     return Model(logits, float(bias[1] - bias[0]))
 
 
